@@ -1,0 +1,26 @@
+"""Insert-if-absent as a join, for tables that have no MERGE."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_KEYS = 500_000
+
+
+def absent_from(
+    source: DataFrame, target: DataFrame, key: str = "transaction_id", n_source: int | None = None
+) -> DataFrame:
+    """Source rows whose key the target does not hold. The first writer of a key wins.
+
+    The target is usually far larger than the source. If the caller has counted the source and
+    it is small, its keys are broadcast to find the ones already present, so that the target
+    is read (one column) but never shuffled. Otherwise both sides are shuffled on the key.
+    """
+    keys = target.select(key)
+    if n_source is not None and n_source <= MAX_BROADCAST_KEYS:
+        arriving = source.select(key)
+        # No more rows than the source has, since the target holds each key once.
+        present = F.broadcast(keys.join(F.broadcast(arriving), key, "left_semi"))
+        return source.join(present, key, "left_anti")
+    return source.join(keys, key, "left_anti")

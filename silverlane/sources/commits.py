@@ -1,0 +1,187 @@
+"""Tables with a history: every write is a commit, and old states stay readable.
+
+Rows are Parquet files under <root>/data/write_key=<key>/, and each write adds one row to
+<root>/commits/write_key=<key>/ once its files are complete. Readers join the rows to the
+commits they want, so a write that died half-way is never seen, and repeating it under the
+same key replaces what it left. An overwrite starts a new generation; the rows before it stay
+for reads as of an older version. One writer at a time is assumed.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from silverlane.sources.landing import read_if_present
+
+COMMIT = T.StructType(
+    [
+        T.StructField("commit_id", T.LongType()),
+        T.StructField("generation", T.LongType()),
+        T.StructField("committed_at", T.TimestampType()),
+        T.StructField("operation", T.StringType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("n_raw", T.LongType()),
+        T.StructField("n_valid", T.LongType()),
+        T.StructField("write_key", T.StringType()),
+    ]
+)
+
+MAX_BROADCAST_COMMITS = 500_000
+
+
+@dataclass(frozen=True)
+class CommittedTable:
+    """Where a table lives and which columns it has. Holds no state of its own."""
+
+    spark: SparkSession
+    root: str
+    schema: T.StructType  # ends with `layer`, the partition column
+
+    @property
+    def data_path(self) -> str:
+        return f"{self.root}/data"
+
+    def commits(self) -> DataFrame:
+        path = f"{self.root}/commits"
+        reader = self.spark.read.schema(COMMIT)
+        return read_if_present(self.spark, reader.parquet, path, COMMIT).select(COMMIT.names)
+
+    def history(self) -> DataFrame:
+        """One row per write, newest first."""
+        return self.commits().orderBy(F.desc("commit_id"))
+
+    def find(self, write_key: str) -> T.Row | None:
+        return self.commits().where(F.col("write_key") == write_key).first()
+
+    def read(
+        self, version: int | None = None, as_of: dt.datetime | None = None
+    ) -> DataFrame:
+        """The rows now, as of a version, or as of a time (best given with its time zone)."""
+        return self._rows_of(self._visible(version, as_of))
+
+    def _visible(self, version: int | None, as_of: dt.datetime | None) -> DataFrame:
+        commits = self.commits()
+        if version is not None:
+            commits = commits.where(F.col("commit_id") <= version)
+        if as_of is not None:
+            commits = commits.where(F.col("committed_at") <= F.lit(as_of))
+        newest = commits.agg(F.max("generation")).scalar()
+        return commits.where(F.col("generation") == newest)
+
+    def _rows_of(self, commits: DataFrame) -> DataFrame:
+        keys = commits.select("write_key")
+        # One short row per write, whatever the writes hold. Their number is checked all the
+        # same; more of them are left to the join Spark chooses.
+        if keys.count() <= MAX_BROADCAST_COMMITS:
+            keys = F.broadcast(keys)
+        return self.rows().join(keys, "write_key", "left_semi").drop("write_key")
+
+    def rows(self) -> DataFrame:
+        """All stored rows with the key of the write they came with, committed or not."""
+        stored = T.StructType([*self.schema.fields, T.StructField("write_key", T.StringType())])
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in stored.fields])
+        reader = self.spark.read.schema(nullable)
+        found = read_if_present(self.spark, reader.parquet, self.data_path, nullable)
+        return found.select(nullable.names)
+
+    def write(
+        self,
+        df: DataFrame,
+        write_key: str,
+        operation: str,
+        overwrite: bool = False,
+        committed_at: dt.datetime | None = None,
+        n_raw: int | None = None,
+        n_valid: int | None = None,
+    ) -> None:
+        """Append (or replace everything by) these rows as one commit.
+
+        A key that is committed already is left alone, so repeating a write changes nothing.
+        """
+        if self.find(write_key) is not None:
+            return
+        target = f"{self.data_path}/write_key={write_key}"
+        df.select(self.schema.names).write.mode("overwrite").partitionBy("layer").parquet(target)
+        written = read_if_present(
+            self.spark, self.spark.read.schema(self.schema).parquet, target, self.schema
+        )
+        last = self.commits().agg(F.max("commit_id"), F.max("generation")).first()
+        commit_id = 0 if last[0] is None else last[0] + 1
+        generation = (0 if last[1] is None else last[1]) + (1 if overwrite and commit_id else 0)
+        commit = self.spark.createDataFrame(
+            [
+                (
+                    commit_id,
+                    generation,
+                    committed_at or dt.datetime.now(dt.timezone.utc),
+                    operation,
+                    written.count(),
+                    n_raw,
+                    n_valid,
+                )
+            ],
+            T.StructType(COMMIT.fields[:-1]),
+        )
+        commit.coalesce(1).write.mode("overwrite").parquet(
+            f"{self.root}/commits/write_key={write_key}"
+        )
+
+
+def compare_versions(
+    table: CommittedTable, versions: dict[str, int | None], amount: str = "amount"
+) -> DataFrame:
+    """(moment, total, avg_amount) for each labelled version, None being the current one.
+
+    The rows are read once: counts and sums per write, then a sum over the writes each
+    version can see. Only the second step repeats per version, on one row per write.
+    """
+    per_write = table.rows().groupBy("write_key").agg(
+        F.count(F.lit(1)).alias("_n"), F.count(amount).alias("_known"), F.sum(amount).alias("_sum")
+    )
+    seen = None
+    for label, version in versions.items():
+        visible = table._visible(version, None).select("write_key", F.lit(label).alias("moment"))
+        seen = visible if seen is None else seen.unionByName(visible)
+    moments = table.spark.createDataFrame([(m,) for m in versions], "moment string")
+    summed = (
+        seen.join(per_write, "write_key")
+        .groupBy("moment")
+        .agg(F.sum("_n").alias("total"), (F.sum("_sum") / F.sum("_known")).alias("_avg"))
+    )
+    return moments.join(summed, "moment", "left").select(
+        "moment",
+        F.coalesce("total", F.lit(0)).alias("total"),
+        F.round("_avg", 0).alias("avg_amount"),
+    )
+
+
+def audit_sample(table: CommittedTable, version: int, n: int = 5) -> DataFrame:
+    """The first n rows processed as of a version, to show what was loaded then."""
+    return (
+        table.read(version)
+        .select("transaction_id", "user_id", "amount", "channel", "city", "ts", "processed_at")
+        .orderBy("processed_at", "transaction_id")
+        .limit(n)
+    )
+
+
+def batch_metrics(table: CommittedTable) -> DataFrame:
+    """Per micro-batch: rows read, valid, refused by the rules, and inserted."""
+    return (
+        table.commits()
+        .where(F.col("n_raw").isNotNull())
+        .select(
+            "commit_id",
+            "write_key",
+            "n_raw",
+            "n_valid",
+            (F.col("n_raw") - F.col("n_valid")).alias("n_rejected"),
+            F.col("n_rows").alias("n_inserted"),
+        )
+        .orderBy("commit_id")
+    )
