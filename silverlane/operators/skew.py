@@ -8,14 +8,15 @@ can sort. No row is dropped: each goes through exactly one of the two ways.
 
 Whether there are frequent keys is asked of the data before the plan is built, by one job:
 an aggregate with map-side combine that reads the key columns alone. Without any, the plan is
-the plain one and the input is read once more, not several times. Transforms that ask
-should be given a stored table rather than a long chain.
+the plain one. Where the input is a long chain, `count_in` names a cheaper table to ask, such
+as the rows before copies were removed: both ways give the same result for any key, so the
+shares need not be those of the input itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -29,10 +30,14 @@ Transform = Callable[[DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class Share:
-    """When a key counts as frequent."""
+    """When a key counts as frequent, and in which rows that is counted (else in the input)."""
 
     min_rows: int = MIN_ROWS
     max_keys: int = MAX_KEYS
+    count_in: DataFrame | None = None
+
+    def in_input(self) -> Share:
+        return replace(self, count_in=None)
 
 
 @dataclass(frozen=True)
@@ -61,7 +66,7 @@ def frequent_keys(df: DataFrame, keys: Sequence[str], share: Share) -> DataFrame
 
 def split_by_share(df: DataFrame, keys: Sequence[str], share: Share = Share()) -> Split | None:
     """Split the rows by whether their key is frequent; None if no key is."""
-    frequent = frequent_keys(df, keys, share)
+    frequent = frequent_keys(df if share.count_in is None else share.count_in, keys, share)
     found = frequent.collect()  # bounded by share.max_keys, see above
     if not found:
         return None

@@ -1,8 +1,8 @@
 """Tables with a history: every write is a commit, and old states stay readable.
 
 Rows are Parquet files under <root>/data/write_key=<key>/, and each write adds one row to
-<root>/commits/write_key=<key>/ once its files are complete. Readers join the rows to the
-commits they want, so a write that died half-way is never seen, and repeating it under the
+<root>/commits/write_key=<key>/ once its files are complete. Readers open the folders of
+the commits they want, so a write that died half-way is never seen, and repeating it under the
 same key replaces what it left. An overwrite starts a new generation; the rows before it stay
 for reads as of an older version. One writer at a time is assumed.
 """
@@ -10,6 +10,7 @@ for reads as of an older version. One writer at a time is assumed.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +32,6 @@ COMMIT = T.StructType(
     ]
 )
 
-MAX_BROADCAST_COMMITS = 500_000
-
 
 @dataclass(frozen=True)
 class CommittedTable:
@@ -47,47 +46,41 @@ class CommittedTable:
         return f"{self.root}/data"
 
     def commits(self) -> DataFrame:
-        path = f"{self.root}/commits"
+        """One row per write."""
         reader = self.spark.read.schema(COMMIT)
+        path = f"{self.root}/commits"
         return read_if_present(self.spark, reader.parquet, path, COMMIT).select(COMMIT.names)
 
     def history(self) -> DataFrame:
         """One row per write, newest first."""
         return self.commits().orderBy(F.desc("commit_id"))
 
-    def find(self, write_key: str) -> T.Row | None:
-        return self.commits().where(F.col("write_key") == write_key).first()
+    def log(self) -> list[T.Row]:
+        """The commits as rows on the driver: metadata, one short row per write."""
+        return sorted(self.commits().collect(), key=lambda c: c["commit_id"])
 
-    def read(
-        self, version: int | None = None, as_of: dt.datetime | None = None
-    ) -> DataFrame:
+    def read(self, version: int | None = None, as_of: dt.datetime | None = None) -> DataFrame:
         """The rows now, as of a version, or as of a time (best given with its time zone)."""
-        return self._rows_of(self._visible(version, as_of))
-
-    def _visible(self, version: int | None, as_of: dt.datetime | None) -> DataFrame:
-        commits = self.commits()
-        if version is not None:
-            commits = commits.where(F.col("commit_id") <= version)
+        log = self.log()
         if as_of is not None:
-            commits = commits.where(F.col("committed_at") <= F.lit(as_of))
-        newest = commits.agg(F.max("generation")).scalar()
-        return commits.where(F.col("generation") == newest)
-
-    def _rows_of(self, commits: DataFrame) -> DataFrame:
-        keys = commits.select("write_key")
-        # One short row per write, whatever the writes hold. Their number is checked all the
-        # same; more of them are left to the join Spark chooses.
-        if keys.count() <= MAX_BROADCAST_COMMITS:
-            keys = F.broadcast(keys)
-        return self.rows().join(keys, "write_key", "left_semi").drop("write_key")
-
-    def rows(self) -> DataFrame:
-        """All stored rows with the key of the write they came with, committed or not."""
+            seconds = as_of.timestamp()
+            log = [c for c in log if c["committed_at"].timestamp() <= seconds]
+        return self._rows(visible(log, version)).drop("write_key")
+
+    def _rows(self, commits: Sequence[T.Row]) -> DataFrame:
+        """Rows of these writes. Only their folders are listed and read."""
         stored = T.StructType([*self.schema.fields, T.StructField("write_key", T.StringType())])
-        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in stored.fields])
-        reader = self.spark.read.schema(nullable)
-        found = read_if_present(self.spark, reader.parquet, self.data_path, nullable)
-        return found.select(nullable.names)
+        paths = [self._folder(c["write_key"]) for c in commits if c["n_rows"]]
+        if not paths:
+            return self.spark.createDataFrame([], _nullable(stored))
+        reader = self.spark.read.schema(stored).option("basePath", self.data_path)
+        return reader.parquet(*paths).select(stored.names)
+
+    def _folder(self, write_key: str) -> str:
+        return f"{self.data_path}/write_key={write_key}"
+
+    def has(self, write_key: str) -> bool:
+        return not self.commits().where(F.col("write_key") == write_key).isEmpty()
 
     def write(
         self,
@@ -103,53 +96,62 @@ class CommittedTable:
 
         A key that is committed already is left alone, so repeating a write changes nothing.
         """
-        if self.find(write_key) is not None:
+        log = self.log()
+        if any(c["write_key"] == write_key for c in log):
             return
-        target = f"{self.data_path}/write_key={write_key}"
-        df.select(self.schema.names).write.mode("overwrite").partitionBy("layer").parquet(target)
-        written = read_if_present(
-            self.spark, self.spark.read.schema(self.schema).parquet, target, self.schema
-        )
-        last = self.commits().agg(F.max("commit_id"), F.max("generation")).first()
-        commit_id = 0 if last[0] is None else last[0] + 1
-        generation = (0 if last[1] is None else last[1]) + (1 if overwrite and commit_id else 0)
-        commit = self.spark.createDataFrame(
-            [
-                (
-                    commit_id,
-                    generation,
-                    committed_at or dt.datetime.now(dt.timezone.utc),
-                    operation,
-                    written.count(),
-                    n_raw,
-                    n_valid,
-                )
-            ],
-            T.StructType(COMMIT.fields[:-1]),
-        )
-        commit.coalesce(1).write.mode("overwrite").parquet(
-            f"{self.root}/commits/write_key={write_key}"
+        folder = self._folder(write_key)
+        df.select(self.schema.names).write.mode("overwrite").partitionBy("layer").parquet(folder)
+        # Counted from the footers of what was stored, not from the job that stored it.
+        n_rows = self.spark.read.schema(self.schema).parquet(folder).count()
+        generation = log[-1]["generation"] if log else 0
+        commit = (
+            log[-1]["commit_id"] + 1 if log else 0,
+            generation + 1 if overwrite and log else generation,
+            committed_at or dt.datetime.now(dt.timezone.utc),
+            operation,
+            n_rows,
+            n_raw,
+            n_valid,
         )
+        one = self.spark.createDataFrame([commit], T.StructType(COMMIT.fields[:-1]))
+        one.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/write_key={write_key}")
+
+
+def visible(log: Sequence[T.Row], version: int | None = None) -> list[T.Row]:
+    """The commits a reader of that version sees: its generation, up to the version."""
+    seen = [c for c in log if version is None or c["commit_id"] <= version]
+    return [c for c in seen if c["generation"] == seen[-1]["generation"]]
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
 
 
 def compare_versions(
-    table: CommittedTable, versions: dict[str, int | None], amount: str = "amount"
+    table: CommittedTable, versions: Mapping[str, int | None], amount: str = "amount"
 ) -> DataFrame:
     """(moment, total, avg_amount) for each labelled version, None being the current one.
 
     The rows are read once: counts and sums per write, then a sum over the writes each
-    version can see. Only the second step repeats per version, on one row per write.
+    version sees. Only that second, small step repeats per version.
     """
-    per_write = table.rows().groupBy("write_key").agg(
-        F.count(F.lit(1)).alias("_n"), F.count(amount).alias("_known"), F.sum(amount).alias("_sum")
+    log = table.log()
+    seen = [(m, c["write_key"]) for m, v in versions.items() for c in visible(log, v)]
+    wanted = {key for _, key in seen}
+    per_write = (
+        table._rows([c for c in log if c["write_key"] in wanted])
+        .groupBy("write_key")
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.count(amount).alias("_known"),
+            F.sum(amount).alias("_sum"),
+        )
     )
-    seen = None
-    for label, version in versions.items():
-        visible = table._visible(version, None).select("write_key", F.lit(label).alias("moment"))
-        seen = visible if seen is None else seen.unionByName(visible)
-    moments = table.spark.createDataFrame([(m,) for m in versions], "moment string")
+    spark = table.spark
+    moments = spark.createDataFrame([(m,) for m in versions], "moment string")
     summed = (
-        seen.join(per_write, "write_key")
+        spark.createDataFrame(seen, "moment string, write_key string")
+        .join(per_write, "write_key")
         .groupBy("moment")
         .agg(F.sum("_n").alias("total"), (F.sum("_sum") / F.sum("_known")).alias("_avg"))
     )

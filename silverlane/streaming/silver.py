@@ -22,7 +22,7 @@ QUERY_ID = "sql.streaming.queryId"
 
 def write_batch(batch: DataFrame, write_key: str, table: CommittedTable) -> None:
     """Validate one batch and insert what Silver does not hold yet."""
-    if table.find(write_key) is not None:
+    if table.has(write_key):
         return
     valid = clean(batch).withColumn("layer", F.lit("silver"))
     # Read three times below. If an executor is lost, its part is made again from the files.

@@ -30,8 +30,16 @@ FIRST_COMMIT = dt.datetime(2024, 2, 1, tzinfo=UTC)
 SECOND_COMMIT = dt.datetime(2024, 3, 1, tzinfo=UTC)
 BETWEEN_COMMITS = dt.datetime(2024, 2, 15, tzinfo=UTC)
 
-# Low enough that most users and all channels of the test tables take the way for frequent keys.
-SPLIT = Share(min_rows=40, max_keys=1_000)
+
+def _share(spark: SparkSession, sf: str) -> Share:
+    """Frequent keys are looked for in bronze, before its copies are removed."""
+    return Share(count_in=given.bronze(spark, sf))
+
+
+def _low_share(spark: SparkSession, sf: str) -> Share:
+    """Low enough that most users and all channels of the test tables count as frequent."""
+    return Share(min_rows=40, max_keys=1_000, count_in=given.bronze(spark, sf))
+
 
 CONTRACT = contract.Contract(
     product_id="payments.transactions.v1",
@@ -127,28 +135,31 @@ def _z_shown(df: DataFrame) -> DataFrame:
 
 
 def zscore_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    return _z_shown(detect.zscore_alerts(given.silver(spark, sf), Z))
+    return _z_shown(detect.zscore_alerts(given.silver(spark, sf), Z, share=_share(spark, sf)))
 
 
 def zscore_alerts_split(spark: SparkSession, sf: str) -> DataFrame:
-    return _z_shown(detect.zscore_alerts(given.silver(spark, sf), Z, share=SPLIT))
+    return _z_shown(detect.zscore_alerts(given.silver(spark, sf), Z, share=_low_share(spark, sf)))
 
 
 FREQUENCY = ["transaction_id", "window_tx", "frequency_alert"]
 
 
 def frequency_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    return detect.frequency_alerts(given.silver(spark, sf), WINDOW_S, MAX_TX).select(FREQUENCY)
+    silver, share = given.silver(spark, sf), _share(spark, sf)
+    return detect.frequency_alerts(silver, WINDOW_S, MAX_TX, share=share).select(FREQUENCY)
 
 
 def frequency_alerts_split(spark: SparkSession, sf: str) -> DataFrame:
     silver = given.silver(spark, sf)
-    return detect.frequency_alerts(silver, WINDOW_S, MAX_TX, share=SPLIT).select(FREQUENCY)
+    share = _low_share(spark, sf)
+    return detect.frequency_alerts(silver, WINDOW_S, MAX_TX, share=share).select(FREQUENCY)
 
 
 def frequency_alerts_untimed(spark: SparkSession, sf: str) -> DataFrame:
     silver = given.silver(spark, sf, on_bad_ts="keep")
-    return detect.frequency_alerts(silver, WINDOW_S, MAX_TX, share=SPLIT).select(FREQUENCY)
+    share = _low_share(spark, sf)
+    return detect.frequency_alerts(silver, WINDOW_S, MAX_TX, share=share).select(FREQUENCY)
 
 
 def zscore_fallback(spark: SparkSession, sf: str) -> DataFrame:
@@ -180,8 +191,15 @@ GOLD = [
 ]
 
 
-def _gold(spark: SparkSession, sf: str, z: float = Z, max_tx: int = MAX_TX, share=Share()):
-    return score(given.silver(spark, sf).drop("event_id"), z, WINDOW_S, max_tx, share)
+def _gold(
+    spark: SparkSession,
+    sf: str,
+    z: float = Z,
+    max_tx: int = MAX_TX,
+    share: Share | None = None,
+) -> DataFrame:
+    silver = given.silver(spark, sf).drop("event_id")
+    return score(silver, z, WINDOW_S, max_tx, share or _share(spark, sf))
 
 
 def gold_alerts(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,7 +207,7 @@ def gold_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_alerts_split(spark: SparkSession, sf: str) -> DataFrame:
-    return _shown(_gold(spark, sf, share=SPLIT), GOLD)
+    return _shown(_gold(spark, sf, share=_low_share(spark, sf)), GOLD)
 
 
 def gold_alerts_rerun(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,10 +227,14 @@ def gold_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fraud_labels(spark: SparkSession, sf: str) -> DataFrame:
-    judged = detect.frequency_alerts(
-        detect.zscore_alerts(given.silver(spark, sf), Z), WINDOW_S, MAX_TX
+    share = _share(spark, sf)
+    judged = (
+        given.silver(spark, sf)
+        .transform(detect.zscore_alerts, threshold=Z, share=share)
+        .transform(detect.frequency_alerts, window_s=WINDOW_S, max_tx=MAX_TX, share=share)
+        .transform(detect.label_confirmed, share=share)
     )
-    return detect.label_confirmed(judged).select("transaction_id", "user_id", "is_fraud")
+    return judged.select("transaction_id", "user_id", "is_fraud")
 
 
 def confirmed_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -248,11 +270,11 @@ def top_alerted_users(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def profile_by_channel(spark: SparkSession, sf: str) -> DataFrame:
-    return profiles.profile_by_channel(given.silver(spark, sf))
+    return profiles.profile_by_channel(given.silver(spark, sf), share=_share(spark, sf))
 
 
 def profile_by_channel_split(spark: SparkSession, sf: str) -> DataFrame:
-    return profiles.profile_by_channel(given.silver(spark, sf), share=SPLIT)
+    return profiles.profile_by_channel(given.silver(spark, sf), share=_low_share(spark, sf))
 
 
 def profile_by_priority(spark: SparkSession, sf: str) -> DataFrame:
