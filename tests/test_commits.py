@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from silverlane.operators.upsert import absent_from
+from silverlane.sources import commits
+
+TEXT, NUMBER = T.StringType(), T.DoubleType()
+SCHEMA = T.StructType().add("transaction_id", TEXT).add("amount", NUMBER).add("layer", TEXT)
+UTC = dt.timezone.utc
+
+
+@pytest.fixture
+def table(spark, where):
+    return commits.CommittedTable(spark, where, SCHEMA)
+
+
+def rows(spark, *pairs):
+    return spark.createDataFrame([(i, float(a), "silver") for i, a in pairs], SCHEMA)
+
+
+def content(df):
+    return sorted((r["transaction_id"], r["amount"]) for r in df.collect())
+
+
+def test_a_table_not_written_yet_is_empty(table):
+    assert content(table.read()) == [] and table.log() == []
+    assert table.history().columns == commits.COMMIT.names
+
+
+def test_versions_and_times(spark, table):
+    for n, day in enumerate((1, 10, 20)):
+        at = dt.datetime(2024, 1, day, tzinfo=UTC)
+        table.write(rows(spark, (f"t{n}", n)), f"k{n}", "WRITE", committed_at=at)
+    assert len(content(table.read())) == 3
+    assert content(table.read(version=0)) == [("t0", 0.0)]
+    assert len(content(table.read(as_of=dt.datetime(2024, 1, 10, tzinfo=UTC)))) == 2
+    assert content(table.read(as_of=dt.datetime(2023, 1, 1, tzinfo=UTC))) == []
+    newest = table.history().first()
+    assert (newest["commit_id"], newest["operation"], newest["n_rows"]) == (2, "WRITE", 1)
+    seen = {r["moment"]: (r["total"], r["avg_amount"]) for r in commits.compare_versions(
+        table, {"first": 0, "second": 1, "now": None}).collect()}
+    assert seen == {"first": (1, 0.0), "second": (2, 1.0), "now": (3, 1.0)}
+
+
+def test_an_overwrite_hides_but_keeps_the_rows_before_it(spark, table):
+    table.write(rows(spark, ("a", 1)), "k0", "WRITE", overwrite=True)
+    table.write(rows(spark, ("b", 2)), "k1", "APPEND")
+    table.write(rows(spark, ("c", 3)), "k2", "OVERWRITE", overwrite=True)
+    table.write(rows(spark, ("d", 4)), "k3", "APPEND")
+    assert content(table.read()) == [("c", 3.0), ("d", 4.0)]
+    assert content(table.read(version=1)) == [("a", 1.0), ("b", 2.0)]
+    seen = {r["moment"]: r["total"] for r in commits.compare_versions(
+        table, {"before": 1, "after": 2, "now": None}, "amount").collect()}
+    assert seen == {"before": 2, "after": 1, "now": 2}
+
+
+def test_a_write_that_died_is_not_seen_and_is_replaced_when_repeated(spark, table):
+    table.write(rows(spark, ("a", 1)), "k0", "WRITE")
+    leftover = f"{table.data_path}/write_key=k1"
+    rows(spark, ("ghost", 9)).write.partitionBy("layer").parquet(leftover)
+    assert content(table.read()) == [("a", 1.0)]
+    table.write(rows(spark, ("b", 2)), "k1", "APPEND")
+    assert content(table.read()) == [("a", 1.0), ("b", 2.0)]
+
+
+def test_a_committed_key_is_left_alone(spark, table):
+    table.write(rows(spark, ("a", 1)), "k0", "WRITE")
+    table.write(rows(spark, ("b", 2)), "k0", "WRITE")
+    assert content(table.read()) == [("a", 1.0)] and len(table.log()) == 1
+
+
+def test_an_empty_write_is_a_commit(spark, table):
+    table.write(rows(spark), "k0", "WRITE")
+    assert content(table.read()) == [] and table.log()[0]["n_rows"] == 0
+    table.write(rows(spark, ("a", 1)), "k1", "APPEND")
+    assert content(table.read()) == [("a", 1.0)]
+
+
+@pytest.mark.parametrize("counted", [True, False])
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_insert_if_absent_twice_is_once(spark, table, counted, limit, monkeypatch):
+    from silverlane.operators import upsert
+
+    monkeypatch.setattr(upsert, "MAX_BROADCAST_KEYS", limit)
+    for key, pairs in (("k0", [("a", 1), ("b", 1)]), ("k1", [("b", 2), ("c", 2)]), ("k2", [("b", 3), ("c", 3)])):
+        new = rows(spark, *pairs)
+        table.write(absent_from(new, table.read(), n_source=2 if counted else None), key, "MERGE")
+    assert content(table.read()) == [("a", 1.0), ("b", 1.0), ("c", 2.0)]
+
+
+def test_only_the_folders_of_the_version_are_read(spark, table):
+    table.write(rows(spark, ("a", 1)), "k0", "WRITE")
+    table.write(rows(spark, ("b", 2)), "k1", "APPEND")
+    files = table.read(version=0).where(F.col("layer") == "silver").inputFiles()
+    assert files and all("write_key=k0" in f for f in files)
+
+
+def test_the_first_rows_of_a_version(spark, where):
+    schema = T.StructType.fromDDL(
+        "transaction_id string, user_id string, amount double, channel string, city string, "
+        "ts timestamp, processed_at timestamp, layer string"
+    )
+    table = commits.CommittedTable(spark, where, schema)
+    t = dt.datetime(2024, 1, 1)
+    made = [(f"t{9 - i}", "u", 1.0, "app", "c", t, t, "silver") for i in range(9)]
+    table.write(spark.createDataFrame(made, schema), "k0", "WRITE")
+    table.write(spark.createDataFrame([("t0", *made[0][1:])], schema), "k1", "APPEND")
+    sample = commits.audit_sample(table, version=0, n=3).collect()
+    assert [r["transaction_id"] for r in sample] == ["t1", "t2", "t3"]

@@ -1,0 +1,213 @@
+"""Both forms of every detector against a plain computation over lists."""
+
+from __future__ import annotations
+
+import datetime as dt
+import statistics
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from silverlane.operators import detect
+from silverlane.operators.skew import Share, split_by_share
+from silverlane.plans import evaluation
+from silverlane.plans.gold import gold_alerts
+
+START = dt.datetime(2024, 1, 1)
+SCHEMA = (
+    "transaction_id string, user_id string, amount double, channel string, city string, "
+    "ts timestamp, is_fraud boolean, layer string"
+)
+ORDINARY = Share()
+ALL_FREQUENT = Share(min_rows=0, max_keys=1_000)
+SOME_FREQUENT = Share(min_rows=4, max_keys=1_000)
+SHARES = [ORDINARY, ALL_FREQUENT, SOME_FREQUENT]
+
+
+def frame(spark, rows):
+    """rows: (user, amount, channel, seconds after the start or None)"""
+    made = [
+        (
+            f"t{i:04d}",
+            user,
+            None if amount is None else float(amount),
+            channel,
+            f"city {i}",
+            None if seconds is None else START + dt.timedelta(seconds=seconds),
+            False,
+            "silver",
+        )
+        for i, (user, amount, channel, seconds) in enumerate(rows)
+    ]
+    return spark.createDataFrame(made, SCHEMA)
+
+
+def column(df, name):
+    return [r[name] for r in df.orderBy("transaction_id").select(name, "transaction_id").collect()]
+
+
+def plain_zscore(rows, threshold):
+    flags = []
+    for user, amount, _, _ in rows:
+        own = [a for u, a, _, _ in rows if u == user and a is not None]
+        std = statistics.stdev(own) if len(own) > 1 else 0.0
+        if std == 0:
+            flags.append(False)
+        elif amount is None:
+            flags.append(None)
+        else:
+            flags.append((amount - statistics.fmean(own)) / std > threshold)
+    return flags
+
+
+def plain_counts(rows, window):
+    def near(mine, other):
+        if mine is None or other is None:
+            return mine is other
+        return mine - window <= int(other) <= int(mine) if mine is not None else False
+
+    return [
+        sum(1 for u, _, _, s in rows if u == user and near(None if sec is None else int(sec), s))
+        for user, _, _, sec in rows
+    ]
+
+
+row = st.tuples(
+    st.sampled_from(["u1", "u2", "u3", None]),
+    st.one_of(st.none(), st.integers(1, 50)),
+    st.sampled_from(["app", "qr"]),
+    st.one_of(st.none(), st.integers(0, 60)),
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(row, min_size=1, max_size=30), window=st.sampled_from([0, 1, 7, 30]))
+def test_both_forms_equal_the_plain_computation(spark, rows, window):
+    df = frame(spark, rows)
+    for share in SHARES:
+        z = detect.zscore_alerts(df, 1.1, share=share)
+        expected = plain_zscore(rows, 1.1)
+        assert column(z, "zscore_alert") == expected
+        f = detect.frequency_alerts(df, window, 2, share=share)
+        counts = plain_counts(rows, window)
+        assert column(f, "window_tx") == counts
+        assert column(f, "frequency_alert") == [n > 2 for n in counts]
+        gold = gold_alerts(df, 1.1, window, 2, share)
+        both = [bool(a) and n > 2 for a, n in zip(expected, counts)]
+        fraud = {r[0] for r, b in zip(rows, both) if b and r[0] is not None}
+        assert column(gold, "is_fraud") == [r[0] in fraud for r in rows]
+        assert gold.count() == len(rows)
+
+
+@pytest.mark.parametrize("share", SHARES)
+def test_planted_burst(spark, share):
+    rows = [("u", 10, "api", 30 * i) for i in range(8)] + [("v", 10, "api", 5)]
+    out = detect.frequency_alerts(frame(spark, rows), share=share)
+    assert column(out, "frequency_alert") == [False] * 5 + [True] * 3 + [False]
+
+
+@pytest.mark.parametrize("share", SHARES)
+def test_window_edge_is_inclusive(spark, share):
+    rows = [("u", 1, "app", 0), ("u", 1, "app", 600), ("u", 1, "app", 601), ("u", 1, "app", 1202)]
+    assert column(detect.frequency_alerts(frame(spark, rows), share=share), "window_tx") == [1, 2, 2, 1]
+
+
+@pytest.mark.parametrize("share", SHARES)
+def test_rows_of_one_second_see_each_other(spark, share):
+    rows = [("u", 1, "app", 3)] * 6 + [("u", 1, "app", None)] * 2
+    out = detect.frequency_alerts(frame(spark, rows), share=share)
+    assert column(out, "window_tx") == [6] * 6 + [2] * 2
+
+
+@pytest.mark.parametrize("share", SHARES)
+def test_no_alert_without_a_deviation(spark, share):
+    rows = [("single", 1e6, "app", 0)] + [("equal", 5, "app", i) for i in range(5)]
+    out = detect.zscore_alerts(frame(spark, rows), share=share)
+    assert column(out, "zscore_alert") == [False] * 6
+    assert column(out, "user_std")[0] is None
+
+
+@pytest.mark.parametrize("share", SHARES)
+@pytest.mark.parametrize("broadcast_up_to", [10, 0])
+def test_fallback_judges_new_users_by_the_channel(spark, share, broadcast_up_to, monkeypatch):
+    monkeypatch.setattr(detect, "MAX_BROADCAST_GROUPS", broadcast_up_to)
+    rows = [(f"new{i}", 10 + i % 3, "app", i) for i in range(30)]
+    rows += [("new", 1000, "app", 99), ("lone", 1000, None, 1), ("lone2", 1, None, 1)]
+    df = frame(spark, rows)
+    assert not any(column(detect.zscore_alerts(df, share=share), "zscore_alert"))
+    out = detect.zscore_fallback(df, share=share)
+    assert column(out, "zscore_alert") == [False] * 30 + [True, False, False]
+    assert out.columns == df.columns + ["zscore_alert"]
+    off = detect.zscore_fallback(df, fallback=False, share=share)
+    assert not any(column(off, "zscore_alert")) and off.columns == out.columns
+    compared = evaluation.compare_zscore_versions(df, share=share).first().asDict()
+    assert compared == {"n_rows": 33, "n_v1": 0, "n_v2": 1, "n_extra": 1, "same_type": True}
+    assert detect.same_output_type(detect.zscore_alerts(df), out, "zscore_alert")
+
+
+@pytest.mark.parametrize("share", [None, ALL_FREQUENT])
+def test_labels_from_a_table(spark, share):
+    df = frame(spark, [("u", 1, "app", 0), ("v", 1, "app", 0), (None, 1, "app", 0)])
+    labels = spark.createDataFrame([("u", False), ("u", True), ("x", True)], "user_id string, is_fraud boolean")
+    out = detect.label_from(df, labels, "user_id", share=share)
+    assert column(out, "is_fraud") == [True, False, False]
+
+
+def test_label_confirmed_marks_all_rows_of_the_user(spark):
+    df = spark.createDataFrame(
+        [("a", "u", True, True), ("b", "u", False, False), ("c", "v", True, False), ("d", None, True, True)],
+        "transaction_id string, user_id string, zscore_alert boolean, frequency_alert boolean",
+    )
+    for share in (ORDINARY, ALL_FREQUENT):
+        assert column(detect.label_confirmed(df, share=share), "is_fraud") == [True, True, False, False]
+
+
+def test_split_keeps_every_row_once(spark):
+    rows = [("hot", i, "app", i) for i in range(50)] + [(None, 1, "qr", i) for i in range(20)]
+    rows += [(f"u{i}", 1, "qr", i) for i in range(30)]
+    df = frame(spark, rows)
+    split = split_by_share(df, ["user_id"], Share(min_rows=10, max_keys=1_000))
+    assert sorted(str(r[0]) for r in split.keys.collect()) == ["None", "hot"]
+    assert (split.common.count(), split.frequent.count()) == (30, 70)
+    assert split_by_share(df, ["user_id"]) is None
+
+
+def test_the_number_of_frequent_keys_is_bounded(spark):
+    df = frame(spark, [(f"u{i}", 1, "app", i) for i in range(50)])
+    assert split_by_share(df, ["user_id"], Share(min_rows=0, max_keys=40)) is None
+    assert split_by_share(df, ["user_id"], Share(min_rows=0, max_keys=60)).keys.count() == 50
+
+
+def test_severity_is_not_alphabetical(spark):
+    gold = spark.createDataFrame(
+        [
+            ("t1", "u1", 10.0, "app", "late", START + dt.timedelta(1), True, True, True, "CRITICAL", True),
+            ("t2", "u1", 20.0, "app", "early", START, True, True, False, "MEDIUM", False),
+            ("t3", "u2", 5.0, "qr", "x", START, True, False, True, "MEDIUM", False),
+            ("t4", "u3", 5.0, "qr", "x", START, False, False, False, "NORMAL", True),
+        ],
+        "transaction_id string, user_id string, amount double, channel string, city string, "
+        "ts timestamp, alert boolean, zscore_alert boolean, frequency_alert boolean, "
+        "risk_level string, is_fraud boolean",
+    )
+    levels = [r["risk_level"] for r in evaluation.alerts_by_level_channel(gold).collect()]
+    assert levels == ["CRITICAL", "MEDIUM", "MEDIUM"]
+    top = evaluation.top_alerted_users(gold, 1).first()
+    assert (top["user_id"], top["max_risk_level"], top["city"]) == ("u1", "CRITICAL", "early")
+    m = evaluation.detector_metrics(gold).first()
+    assert (m["true_positives"], m["false_positives"], m["false_negatives"]) == (1, 2, 1)
+    assert (m["precision"], m["recall"], m["f1"]) == (33.3, 50.0, 40.0)
+    none = evaluation.detector_metrics(gold.where("false")).first()
+    assert (none["precision"], none["recall"], none["f1"], none["pct_alerts"]) == (0.0, 0.0, 0.0, 0.0)
+
+
+def test_ties_at_the_cut_are_decided_by_the_user(spark):
+    rows = [(f"t{i}", f"u{i:02d}", 1.0, "app", "c", START, True, True, False, "MEDIUM", False) for i in range(15)]
+    gold = spark.createDataFrame(
+        rows,
+        "transaction_id string, user_id string, amount double, channel string, city string, "
+        "ts timestamp, alert boolean, zscore_alert boolean, frequency_alert boolean, "
+        "risk_level string, is_fraud boolean",
+    )
+    assert [r["user_id"] for r in evaluation.top_alerted_users(gold).collect()] == [f"u{i:02d}" for i in range(10)]
