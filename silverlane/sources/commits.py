@@ -1,9 +1,9 @@
 """Tables with a history: every write is a commit, and old states stay readable.
 
 Rows are Parquet files under <root>/data/write_key=<key>/, and each write adds one row to
-<root>/commits/write_key=<key>/ once its files are complete. Readers open the folders of
-the commits they want, so a write that died half-way is never seen, and repeating it under the
-same key replaces what it left. An overwrite starts a new generation; the rows before it stay
+<root>/commits once its files are complete. Readers open the folders of the commits they
+want, so a write that died half-way is never seen, and repeating it under the same key
+replaces what it left. An overwrite starts a new generation; the rows before it stay
 for reads as of an older version. One writer at a time is assumed.
 """
 
@@ -113,8 +113,8 @@ class CommittedTable:
             n_raw,
             n_valid,
         )
-        one = self.spark.createDataFrame([commit], T.StructType(COMMIT.fields[:-1]))
-        one.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/write_key={write_key}")
+        one = self.spark.createDataFrame([(*commit, write_key)], COMMIT)
+        one.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
 
 def visible(log: Sequence[T.Row], version: int | None = None) -> list[T.Row]:
