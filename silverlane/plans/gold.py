@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlane.functions.risk import level_of, mean_of_flags
 from silverlane.operators import detect
 from silverlane.operators.skew import Share, by_share
+from silverlane.sources.commits import CommittedTable
 
 
 def gold_alerts(
@@ -55,3 +58,37 @@ def gold_alerts(
         .withColumn("layer", F.lit("gold"))
         .withColumn("processed_at", F.current_timestamp())
     )
+
+
+# What a run may set from outside, how its text is read, and the value if it is not given.
+PARAMETERS = {
+    "z_threshold": (float, detect.Z_THRESHOLD),
+    "window_s": (int, detect.WINDOW_S),
+    "max_tx": (int, detect.MAX_TX),
+}
+
+
+def run_parameters(given: Mapping[str, str]) -> dict[str, float | int]:
+    """Typed detector parameters of a run; an empty or missing text means the default."""
+    unknown = set(given) - set(PARAMETERS)
+    if unknown:
+        raise ValueError(f"unknown parameters: {sorted(unknown)}")
+    return {
+        name: read(given[name].strip()) if given.get(name, "").strip() else default
+        for name, (read, default) in PARAMETERS.items()
+    }
+
+
+def replace_gold(
+    gold: CommittedTable,
+    silver: DataFrame,
+    run_key: str,
+    given: Mapping[str, str] | None = None,
+    share: Share = Share(),
+) -> None:
+    """Score Silver again and let the result take the place of Gold, in one commit.
+
+    Readers see the former Gold until the commit, and can go back to it by version.
+    """
+    scored = gold_alerts(silver, **run_parameters(given or {}), share=share)
+    gold.write(scored, run_key, "OVERWRITE", overwrite=True)

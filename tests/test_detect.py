@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from silverlane.operators import detect
 from silverlane.operators.skew import Share, split_by_share
 from silverlane.plans import evaluation
-from silverlane.plans.gold import gold_alerts
+from silverlane.plans.gold import gold_alerts, run_parameters
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = (
@@ -211,3 +211,12 @@ def test_ties_at_the_cut_are_decided_by_the_user(spark):
         "risk_level string, is_fraud boolean",
     )
     assert [r["user_id"] for r in evaluation.top_alerted_users(gold).collect()] == [f"u{i:02d}" for i in range(10)]
+
+
+def test_run_parameters():
+    assert run_parameters({}) == {"z_threshold": 3.0, "window_s": 600, "max_tx": 5}
+    assert run_parameters({"z_threshold": " 2.5 ", "max_tx": ""})["z_threshold"] == 2.5
+    with pytest.raises(ValueError):
+        run_parameters({"max_tx": "many"})
+    with pytest.raises(ValueError, match="unknown"):
+        run_parameters({"threshold": "3"})

@@ -17,10 +17,11 @@ from silverlane.operators.skew import Share
 from silverlane.operators.upsert import absent_from
 from silverlane.plans import evaluation, profiles
 from silverlane.plans.gold import gold_alerts as score
+from silverlane.plans.gold import replace_gold
+from silverlane.schema import ALERT, TRANSACTION
 from silverlane.scratch import run_dir
 from silverlane.sources import commits, landing, tables
 from silverlane.streaming.silver import run_silver
-from silverlane.schema import TRANSACTION
 from workload import inputs as given
 from workload.inputs import MAX_TX, WINDOW_S, Z
 
@@ -212,10 +213,20 @@ def gold_alerts_split(spark: SparkSession, sf: str) -> DataFrame:
 
 def gold_alerts_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """Gold replaced by a run with other thresholds; the first run stays as version 0."""
-    first = _gold(spark, sf)
-    gold = _committed(spark, "gold", first.select(GOLD))
-    gold.write(first, "run-1", "OVERWRITE", overwrite=True)
-    gold.write(_gold(spark, sf, 2.5, 4), "run-2", "OVERWRITE", overwrite=True)
+    silver = given.silver(spark, sf).drop("event_id")
+    gold = _committed(spark, "gold", _gold(spark, sf).select(GOLD))
+    share = _share(spark, sf)
+    replace_gold(gold, silver, "run-1", share=share)
+    thresholds = {"z_threshold": "2.5", "window_s": str(WINDOW_S), "max_tx": "4"}
+    replace_gold(gold, silver, "run-2", thresholds, share)
+    return _shown(gold.read(), GOLD)
+
+
+def gold_from_landed_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole way: JSON files, stream, stored Silver, stored Gold."""
+    silver = _streamed(spark, sf).read().where(F.col("layer") == "silver")
+    gold = commits.CommittedTable(spark, run_dir(spark, "gold"), ALERT)
+    replace_gold(gold, silver, "run-1", {"window_s": str(WINDOW_S)})
     return _shown(gold.read(), GOLD)
 
 
@@ -539,6 +550,7 @@ ALL = (
     gold_alerts,
     gold_alerts_split,
     gold_alerts_rerun,
+    gold_from_landed_files,
     gold_table,
     fraud_labels,
     confirmed_users,
