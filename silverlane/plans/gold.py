@@ -50,7 +50,8 @@ def gold_alerts(
             .transform(detect.label_frequent, both, user, "is_fraud")
         )
 
-    scored = by_share(silver.drop("is_fraud"), [user], common, frequent, share)
+    typed = silver.drop("is_fraud").withColumn(ts, F.col(ts).try_cast("timestamp"))
+    scored = by_share(typed, [user], common, frequent, share)
     return (
         scored.withColumn("alert", F.col("zscore_alert") | F.col("frequency_alert"))
         .withColumn("score", mean_of_flags("zscore_alert", "frequency_alert"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,6 +76,11 @@ COLUMN_NOTES = {
 TABLE_NOTE = "Normalised and validated transactions"
 
 
+def _second_load() -> Column:
+    """Rows from this time on arrive with the second load."""
+    return F.lit("2024-01-21 00:00:00").cast("timestamp")
+
+
 def _shown(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Chosen columns, times as wall clock so that no session zone shifts them."""
     df = df if columns is None else df.select(*columns)
@@ -308,10 +313,10 @@ def activity_by_hour(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
-    """Two thirds of Silver, then all of it with other amounts, twice: first writer wins."""
-    silver = given.silver(spark, sf)
-    late = silver.withColumn("amount", F.col("amount") + 1000).drop("event_id")
-    early = silver.where(F.col("event_id") % 3 != 0).drop("event_id")
+    """The first weeks, then everything with other amounts, twice: the first writer wins."""
+    silver = given.silver(spark, sf).drop("event_id")
+    early = silver.where(F.col("ts") < _second_load())
+    late = silver.withColumn("amount", F.col("amount") + 1000)
     table = _committed(spark, "silver", early.select(*ROW, "layer"))
     table.write(absent_from(early, table.read()), "load-1", "MERGE")
     for key in ("load-2", "load-2-again"):
@@ -367,7 +372,7 @@ def silver_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _versions(spark: SparkSession, sf: str) -> commits.CommittedTable:
-    """Four fifths of the rows as version 0, the rest appended as version 1."""
+    """The first weeks as version 0, the rest appended as version 1."""
     rows = given.events(spark, sf).select(
         F.concat(F.lit("tx_"), F.col("event_id")).alias("transaction_id"),
         F.concat(F.lit("u_"), F.col("user_id")).alias("user_id"),
@@ -377,11 +382,11 @@ def _versions(spark: SparkSession, sf: str) -> commits.CommittedTable:
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("ts").cast("timestamp").alias("processed_at"),
         F.lit("silver").alias("layer"),
-        (F.col("event_id") % 5 == 0).alias("_late"),
     )
-    table = _committed(spark, "history", rows.drop("_late"))
-    table.write(rows.where(~F.col("_late")), "load-0", "WRITE", committed_at=FIRST_COMMIT)
-    table.write(rows.where("_late"), "load-1", "APPEND", committed_at=SECOND_COMMIT)
+    table = _committed(spark, "history", rows)
+    early, late = rows.where(F.col("ts") < _second_load()), rows.where(F.col("ts") >= _second_load())
+    table.write(early, "load-0", "WRITE", committed_at=FIRST_COMMIT)
+    table.write(late, "load-1", "APPEND", committed_at=SECOND_COMMIT)
     return table
 
 
