@@ -60,10 +60,10 @@ def add_stats_windowed(df: DataFrame, user: str, amount: str) -> DataFrame:
 
 def add_stats_frequent(df: DataFrame, user: str, amount: str) -> DataFrame:
     """One statistics row per frequent user: few by definition, so they are broadcast."""
-    return lookup(df, F.broadcast(_stats(df, user, amount, "user_avg", "user_std")), [user])
+    return lookup(df, F.broadcast(stats_by(df, user, amount, "user_avg", "user_std")), [user])
 
 
-def _stats(df: DataFrame, key: str, amount: str, avg: str, std: str) -> DataFrame:
+def stats_by(df: DataFrame, key: str, amount: str, avg: str, std: str) -> DataFrame:
     return df.groupBy(key).agg(F.avg(amount).alias(avg), F.stddev_samp(amount).alias(std))
 
 
@@ -117,7 +117,7 @@ def add_both_stats(
         lambda d: add_stats_frequent(d, user, amount),
         share,
     )
-    stats = _stats(df, channel, amount, "channel_avg", "channel_std")
+    stats = stats_by(df, channel, amount, "channel_avg", "channel_std")
     if stats.count() <= MAX_BROADCAST_GROUPS:
         return lookup(out, F.broadcast(stats), [channel])
     return lookup_by_share(out, stats, [channel], share)
@@ -157,45 +157,70 @@ def frequency_alerts(
 
 
 def add_count_windowed(df: DataFrame, window_s: int, user: str, ts: str) -> DataFrame:
-    trailing = Window.partitionBy(user).orderBy("_second").rangeBetween(-window_s, 0)
     return (
         df.withColumn("_second", F.unix_timestamp(ts))
-        .withColumn("window_tx", F.count(F.lit(1)).over(trailing))
+        .withColumn("window_tx", _trailing(F.count(F.lit(1)), [user], window_s))
         .drop("_second")
     )
 
 
+def _trailing(counted: Column, keys: list[str], window_s: int) -> Column:
+    """An additive count over the last `window_s` seconds, as a difference of running counts.
+
+    Both frames only ever grow, so each row is added once per frame. A frame with two moving
+    ends would be summed again for every row, which is quadratic within a burst.
+    """
+    ordered = Window.partitionBy(*keys).orderBy("_second")
+    up_to_now = counted.over(ordered.rangeBetween(Window.unboundedPreceding, 0))
+    before = counted.over(ordered.rangeBetween(Window.unboundedPreceding, -window_s - 1))
+    # Rows without a time come first, so they are in both counts of every other row.
+    return F.when(F.col("_second").isNull(), up_to_now).otherwise(
+        up_to_now - F.coalesce(before, F.lit(0))
+    )
+
+
 def add_count_frequent(
     df: DataFrame, window_s: int, user: str, ts: str, share: Share
 ) -> DataFrame:
-    """Count per second first, then sum the seconds within slices of the user's time.
+    return add_by_second(df, count_by_second(df, window_s, user, ts), user, ts, share)
 
-    A slice is as long as the window, so a trailing window ends in its own slice and reaches
-    back into the one before: each second is given to its slice and to the next. A slice
-    then holds at most two windows of seconds, however many rows the user has.
+
+def count_by_second(
+    df: DataFrame, window_s: int, user: str, ts: str, top: str | None = None
+) -> DataFrame:
+    """(user, second, window_tx): the trailing count once per second in which a user has rows.
+
+    Count per second first, then sum the seconds within slices of the user's time. A slice is
+    as long as the window, so a trailing window ends in its own slice and reaches back into the
+    one before: each second is given to its slice and to the next. A slice then holds at
+    most two windows of seconds, however many rows the user has. `top` adds the largest value
+    of that column per second.
     """
-    timed = df.withColumn("_second", F.unix_timestamp(ts))
-    home = F.floor(F.col("_second") / max(window_s, 1))
+    kept = [] if top is None else [F.max(top).alias(top)]
+    both = F.array(F.col("_home"), F.col("_home") + 1)
     seconds = (
-        timed.groupBy(user, "_second")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_home", home)
+        df.withColumn("_second", F.unix_timestamp(ts))
+        .groupBy(user, "_second")
+        .agg(F.count(F.lit(1)).alias("_n"), *kept)
+        .withColumn("_home", F.floor(F.col("_second") / max(window_s, 1)))
         .withColumn(
             "_slice",
-            F.explode(
-                F.when(F.col("_home").isNull(), F.array("_home")).otherwise(
-                    F.array(F.col("_home"), F.col("_home") + 1)
-                )
-            ),
+            F.explode(F.when(F.col("_home").isNull(), F.array("_home")).otherwise(both)),
         )
     )
-    trailing = Window.partitionBy(user, "_slice").orderBy("_second").rangeBetween(-window_s, 0)
-    counts = (
-        seconds.withColumn("window_tx", F.sum("_n").over(trailing))
+    return (
+        seconds.withColumn("window_tx", _trailing(F.sum("_n"), [user, "_slice"], window_s))
         .where(F.col("_slice").eqNullSafe(F.col("_home")))
-        .select(user, "_second", "window_tx")
+        .drop("_slice", "_home", "_n")
     )
-    return lookup_by_share(timed, counts, [user, "_second"], share.in_input()).drop("_second")
+
+
+def add_by_second(
+    df: DataFrame, seconds: DataFrame, user: str, ts: str, share: Share
+) -> DataFrame:
+    """Give each row what `seconds` holds for its user and second."""
+    timed = df.withColumn("_second", F.unix_timestamp(ts))
+    return lookup_by_share(timed, seconds, [user, "_second"], share.in_input()).drop("_second")
 
 
 # -- confirmed fraud ---------------------------------------------------------------------
@@ -226,9 +251,14 @@ def label_windowed(df: DataFrame, evidence: Column, user: str, label: str) -> Da
 
 
 def label_frequent(df: DataFrame, evidence: Column, user: str, label: str) -> DataFrame:
-    found = df.groupBy(user).agg(F.max(evidence).alias("_some"))
+    return label_users(df, df.where(evidence), user, label)
+
+
+def label_users(df: DataFrame, evidence: DataFrame, user: str, label: str) -> DataFrame:
+    """Label the rows of the frequent users that occur in `evidence`: few, so broadcast."""
+    found = evidence.select(user).distinct().withColumn("_some", F.lit(True))
     return (
-        lookup(df, F.broadcast(found), [user])  # one row per frequent user
+        lookup(df, F.broadcast(found), [user])
         .withColumn(label, F.col(user).isNotNull() & holds(F.col("_some")))
         .drop("_some")
     )

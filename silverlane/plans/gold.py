@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from silverlane.functions.risk import level_of, mean_of_flags
 from silverlane.operators import detect
-from silverlane.operators.skew import Share, by_share
+from silverlane.operators.skew import Share, by_share, lookup
 from silverlane.sources.commits import CommittedTable
 
 
@@ -43,11 +43,16 @@ def gold_alerts(
         )
 
     def frequent(df: DataFrame) -> DataFrame:
+        # Some row has both alerts exactly if the largest amount of its second has them, so the
+        # label is found among the seconds and the rows are joined once.
+        seconds = detect.count_by_second(df, window_s, user, ts, top=amount)
+        stats = F.broadcast(detect.stats_by(df, user, amount, "user_avg", "user_std"))
+        evidence = lookup(seconds, stats, [user]).transform(flags).where(both)
         return (
-            df.transform(detect.add_count_frequent, window_s, user, ts, share)
-            .transform(detect.add_stats_frequent, user, amount)
+            lookup(df, stats, [user])
+            .transform(detect.add_by_second, seconds.drop(amount), user, ts, share)
             .transform(flags)
-            .transform(detect.label_frequent, both, user, "is_fraud")
+            .transform(detect.label_users, evidence, user, "is_fraud")
         )
 
     typed = silver.drop("is_fraud").withColumn(ts, F.col(ts).try_cast("timestamp"))
