@@ -13,7 +13,6 @@ from silverlane.governance.contract import literal, quoted
 MADE_HERE = "silverlane.domain"  # marks schemas that `reset` may drop
 
 
-
 def create_domains(
     spark: SparkSession, domains: Mapping[str, str], location: str | None = None
 ) -> None:

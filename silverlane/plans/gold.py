@@ -22,9 +22,8 @@ def gold_alerts(
 ) -> DataFrame:
     """Score every Silver row. Parameters can be changed per run without touching code.
 
-    All three per-user steps run on the same split of the input. The trailing count comes
-    first: its sort by (user, second) also serves the steps that only need the user, so
-    ordinary users cost one exchange and one sort.
+    All three per-user steps run on the same split of the input. For ordinary users the sort by
+    (user, second) also serves the steps that only need the user: one exchange and one sort.
     """
     user, amount, ts = "user_id", "amount", "ts"
     both = F.col("zscore_alert") & F.col("frequency_alert")
@@ -36,8 +35,7 @@ def gold_alerts(
 
     def common(df: DataFrame) -> DataFrame:
         return (
-            df.transform(detect.add_count_windowed, window_s, user, ts)
-            .transform(detect.add_stats_windowed, user, amount)
+            df.transform(detect.add_count_and_stats_windowed, window_s, user, ts, amount)
             .transform(flags)
             .transform(detect.label_windowed, both, user, "is_fraud")
         )

@@ -13,10 +13,11 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlane.operators.quality import enforce
 from silverlane.sources.landing import read_if_present
 
 COMMIT = T.StructType(
@@ -35,11 +36,15 @@ COMMIT = T.StructType(
 
 @dataclass(frozen=True)
 class CommittedTable:
-    """Where a table lives and which columns it has. Holds no state of its own."""
+    """Where a table lives, which columns it has and what its rows must meet.
+
+    Holds no state of its own. A write with a row that violates a constraint is refused whole.
+    """
 
     spark: SparkSession
     root: str
     schema: T.StructType  # ends with `layer`, the partition column
+    constraints: Mapping[str, Column] | None = None
 
     @property
     def data_path(self) -> str:
@@ -100,7 +105,10 @@ class CommittedTable:
         if any(c["write_key"] == write_key for c in log):
             return
         folder = self._folder(write_key)
-        df.select(self.schema.names).write.mode("overwrite").partitionBy("layer").parquet(folder)
+        rows = df.select(self.schema.names)
+        if self.constraints:
+            rows = enforce(rows, self.constraints)
+        rows.write.mode("overwrite").partitionBy("layer").parquet(folder)
         # Counted from the footers of what was stored, not from the job that stored it.
         n_rows = self.spark.read.schema(self.schema).parquet(folder).count()
         generation = log[-1]["generation"] if log else 0

@@ -112,3 +112,29 @@ def test_the_first_rows_of_a_version(spark, where):
     table.write(spark.createDataFrame([("t0", *made[0][1:])], schema), "k1", "APPEND")
     sample = commits.audit_sample(table, version=0, n=3).collect()
     assert [r["transaction_id"] for r in sample] == ["t1", "t2", "t3"]
+
+
+def test_a_table_with_constraints_refuses_a_violating_write_whole(spark, where):
+    positive = {"amount_positive": F.col("amount") > 0}
+    table = commits.CommittedTable(spark, where, SCHEMA, positive)
+    table.write(rows(spark, ("a", 1)), "k0", "WRITE")
+    with pytest.raises(Exception, match="amount_positive"):
+        table.write(rows(spark, ("b", 2), ("c", -500)), "k1", "APPEND")
+    assert content(table.read()) == [("a", 1.0)] and len(table.log()) == 1
+    table.write(rows(spark, ("b", 2)), "k1", "APPEND")
+    assert content(table.read()) == [("a", 1.0), ("b", 2.0)]
+
+
+def test_scratch_is_the_shared_folder_of_the_cluster():
+    from silverlane.scratch import run_dir, shared_dir
+
+    class Session:
+        def __init__(self, **settings):
+            self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+
+    named = Session(spark_master="yarn", spark_checkpoint_dir="s3a://shared/ckpt/")
+    assert shared_dir(named) == "s3a://shared/ckpt"
+    assert run_dir(named, "x") != run_dir(named, "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session(spark_master="yarn"))
+    assert shared_dir(Session(spark_master="local[2]")).startswith("/")

@@ -41,6 +41,7 @@ def test_gold_over_a_table_is_one_exchange_and_one_sort(spark, where):
     plan = executed(gold_alerts(spark.read.parquet(where)))
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
+    assert plan.count("Window [") == 2
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
