@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Actions that count as access.
@@ -18,14 +17,14 @@ def access_audit(
     prefix: str,
     hours: int = 3,
     newest: int = 20,
-    as_of: dt.datetime | None = None,
+    as_of: Column | None = None,
     actions: Sequence[str] = ACTIONS,
 ) -> DataFrame:
     """The newest accesses of the last hours to products under the prefix, by minute.
 
     `as_of` replaces the current time, so that a past state can be audited again.
     """
-    now = F.current_timestamp() if as_of is None else F.lit(as_of)
+    now = F.current_timestamp() if as_of is None else as_of
     product = F.col("request_params")["table_full_name"]
     accessed = log.where(
         (F.col("service_name") == service)

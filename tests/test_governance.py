@@ -115,7 +115,7 @@ def test_audit(spark):
          entry(179, "alterTable"), entry(181), entry(-5)],
         AUDIT,
     )
-    seen = audit.access_audit(log, "catalog", "main", as_of=now).collect()
+    seen = audit.access_audit(log, "catalog", "main", as_of=F.lit(now)).collect()
     assert [(r["action_name"], r["minute"].second) for r in seen] == [("getTable", 0), ("alterTable", 0)]
-    assert len(audit.access_audit(log, "catalog", "main", as_of=now, newest=1).collect()) == 1
+    assert len(audit.access_audit(log, "catalog", "main", as_of=F.lit(now), newest=1).collect()) == 1
     assert audit.access_audit(log, "catalog", "main").count() == 0

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from silverlane.operators import quality
@@ -119,3 +121,43 @@ def test_layer_comparison_may_be_negative(spark):
     row = quality.compare_layers(few, many).first()
     assert (row["n_rejected"], row["pct_rejected"]) == (-1, -100.0)
     assert quality.compare_layers(raw(spark), raw(spark)).first()["pct_rejected"] == 0.0
+
+
+TIMES = ["2024-01-01T00:00:00", "2024-01-02T00:00:00", "soon", None]
+random_row = st.tuples(
+    st.sampled_from(["a", "b", "c", None]),
+    st.just("u"),
+    st.sampled_from([None, -1.0, 0.0, 1.0, 2.0]),
+    st.sampled_from(["app", "qr", "fax", None]),
+    st.sampled_from(["x", "y", None]),
+    st.just("d"),
+    st.sampled_from(TIMES),
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(random_row, max_size=25))
+def test_clean_equals_the_plain_computation(spark, rows):
+    def readable(ts):
+        return ts if ts and ts[0] == "2" else None
+
+    def order(row):  # a missing time last, other missing values first
+        _, _, amount, channel, city, _, ts = row
+        return (readable(ts) is None, readable(ts) or "", amount, channel, city is not None, city or "")
+
+    for mode in ("reject", "keep"):
+        valid = [
+            r for r in rows
+            if r[2] is not None and r[2] > 0 and r[3] in ("app", "qr", "agent", "api")
+            and (mode == "keep" or readable(r[6]))
+        ]
+        kept = {}
+        for row in sorted(valid, key=order, reverse=True):
+            kept[row[0]] = row
+        got = quality.clean(raw(spark, *rows), mode).collect()
+        assert len(got) == len(kept)
+        for g in got:
+            row = kept[g["transaction_id"]]
+            assert (g["amount"], g["channel"], g["city"]) == (row[2], row[3], row[4])
+            seen = None if g["ts"] is None else g["ts"].strftime("%Y-%m-%dT%H:%M:%S")
+            assert seen == readable(row[6])

@@ -532,7 +532,7 @@ def secured_view_current_user(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def access_audit(spark: SparkSession, sf: str) -> DataFrame:
-    now = dt.datetime(2024, 1, 30, tzinfo=UTC)
+    now = F.lit("2024-01-30 00:00:00").cast("timestamp")
     return _shown(access.access_audit(given.audit(spark, sf), "catalog", "main", as_of=now))
 
 
