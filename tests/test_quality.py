@@ -135,7 +135,7 @@ random_row = st.tuples(
 )
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, derandomize=True, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=st.lists(random_row, max_size=25))
 def test_clean_equals_the_plain_computation(spark, rows):
     def readable(ts):
