@@ -20,7 +20,6 @@ def absent_from(
     keys = target.select(key)
     if n_source is not None and n_source <= MAX_BROADCAST_KEYS:
         arriving = source.select(key)
-        # No more rows than the source has, since the target holds each key once.
-        present = F.broadcast(keys.join(F.broadcast(arriving), key, "left_semi"))
-        return source.join(present, key, "left_anti")
+        present = keys.join(F.broadcast(arriving), key, "left_semi").distinct()
+        return source.join(F.broadcast(present), key, "left_anti")  # at most the source's keys
     return source.join(keys, key, "left_anti")

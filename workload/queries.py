@@ -174,6 +174,37 @@ def zscore_fallback(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def zscore_by_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """The detector on other columns: orders far above the customer's mean."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    judged = detect.zscore_alerts(orders, 2.0, "o_custkey", "o_totalprice", keep_stats=False)
+    return judged.select("o_orderkey", "zscore_alert")
+
+
+def fallback_by_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders judged by their priority where the customer has no usable deviation."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    judged = detect.zscore_fallback(
+        orders, 1.5, user="o_custkey", amount="o_totalprice", channel="o_orderpriority"
+    )
+    return judged.select("o_orderkey", "zscore_alert")
+
+
+def _by_supplier(spark: SparkSession, sf: str, share: Share) -> DataFrame:
+    """Lines shipped per supplier within a week; every line of a day shares one second."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    judged = detect.frequency_alerts(lines, 7 * 86_400, 3, "l_suppkey", "l_shipdate", share=share)
+    return judged.select("l_orderkey", "l_linenumber", "l_suppkey", "window_tx", "frequency_alert")
+
+
+def frequency_by_supplier(spark: SparkSession, sf: str) -> DataFrame:
+    return _by_supplier(spark, sf, Share())
+
+
+def frequency_by_supplier_split(spark: SparkSession, sf: str) -> DataFrame:
+    return _by_supplier(spark, sf, Share(min_rows=300, max_keys=10_000))
+
+
 def zscore_v1_v2_compare(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.compare_zscore_versions(given.sparse(spark, sf), Z)
 
@@ -550,6 +581,10 @@ ALL = (
     frequency_alerts_split,
     frequency_alerts_untimed,
     zscore_fallback,
+    zscore_by_customer,
+    fallback_by_customer,
+    frequency_by_supplier,
+    frequency_by_supplier_split,
     zscore_v1_v2_compare,
     deterministic_sample,
     gold_alerts,
