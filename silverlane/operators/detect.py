@@ -107,8 +107,8 @@ def add_both_stats(
 ) -> DataFrame:
     """Add mean and deviation of the user and of the channel.
 
-    Channel statistics are one row per channel. This function counts them (a job over two
-    columns) and broadcasts them only if they are few; a dimension with many values is looked
+    Channel statistics are one row per channel. This function counts them (a job over one
+    column) and broadcasts them only if they are few; a dimension with many values is looked
     up by shuffle, its frequent values by broadcast.
     """
     out = by_share(
