@@ -220,3 +220,16 @@ def test_run_parameters():
         run_parameters({"max_tx": "many"})
     with pytest.raises(ValueError, match="unknown"):
         run_parameters({"threshold": "3"})
+
+
+def test_amounts_that_are_not_finite_are_judged_alike_in_both_forms(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("n", v, "app", i // 3) for i, v in enumerate([1.0, nan, 3.0, 4.0, 5.0, None])]
+    rows += [("i", v, "app", i // 4) for i, v in enumerate([1.0, inf, 2.0, 2.0, 9.0])]
+    rows += [("f", v, "app", i // 2) for i, v in enumerate([1.0, 1.0, 1.0, 99.0, 1.0, None])]
+    df = frame(spark, rows)
+    names = ["zscore_alert", "window_tx", "alert", "risk_level", "is_fraud"]
+    one, other, third = (gold_alerts(df, 1.0, 1, 2, share) for share in SHARES)
+    for name in names:
+        assert column(one, name) == column(other, name) == column(third, name)
+    assert True in column(one, "is_fraud")
