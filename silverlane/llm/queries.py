@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from silverlane.llm import bpe, token_counts
+from silverlane.llm import bpe, simhash, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,5 +25,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path))
 
 
-ALL = [op2_token_counts, op6_bpe]
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents by SimHash."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    shown = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", shown.alias("fingerprint"), "component_id")
+
+
+ALL = [op2_token_counts, op6_bpe, op8_simhash]
 SQL: dict[str, str] = {}
