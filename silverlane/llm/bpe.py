@@ -13,7 +13,6 @@ import json
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import chain, count
 
 import numpy as np
@@ -26,8 +25,10 @@ from pyspark.sql import types as T
 from silverlane.llm.store import pick
 
 #: Characters of text that are indexed together, and pre-tokens a task remembers between blocks.
-BLOCK_CHARS = 24_000_000
-REMEMBERED = 1_000_000
+BLOCK_CHARS = 8_000_000
+REMEMBERED = 400_000
+#: Runs that are copied at once.
+STEP = 200_000
 
 
 def byte_signs() -> list[str]:
@@ -59,9 +60,15 @@ def latin_pattern() -> re.Pattern:
 
 def gather(table: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """table[start : start + size] for each pair of start and size, one after the other."""
-    ends = np.cumsum(sizes)
-    shift = starts - (ends - sizes)
-    return table[np.repeat(shift, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+    out, done = np.empty(sizes.sum(), table.dtype), 0
+    for k in range(0, len(sizes), STEP):
+        some = sizes[k : k + STEP]
+        ends = np.cumsum(some)
+        at = np.repeat(starts[k : k + STEP] - (ends - some), some)
+        at += np.arange(len(at))
+        out[done : done + len(at)] = table[at]
+        done += len(at)
+    return out
 
 
 class Codec:
@@ -195,12 +202,6 @@ def _apart(at: np.ndarray, after: np.ndarray) -> np.ndarray:
     return np.array(kept, at.dtype)
 
 
-@lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
-    """One for each Python worker."""
-    return Codec(path)
-
-
 def blocks(texts: Iterable[str | None], most: int = BLOCK_CHARS) -> Iterator[list[str | None]]:
     """Runs of whole texts of about `most` characters; a longer text is a block of its own."""
     block, chars = [], 0
@@ -223,10 +224,11 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     schema = T.StructType([rows.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(path)
         for batch in batches:
             done = 0
             for block in blocks(t.as_py() for t in batch.column("text")):
-                ids, sizes = codec(path).encode(block)
+                ids, sizes = codec.encode(block)
                 cuts = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
                 keys = batch.column("doc_id").slice(done, len(block))
                 done += len(block)
@@ -241,12 +243,19 @@ def decode(encoded: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "id
     schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(path)
         for batch in batches:
             listed = batch.column("ids")
             sizes = listed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             flat = listed.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
-            texts = pa.array(codec(path).decode(flat, sizes), pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=schema.names)
+            cuts = np.concatenate([[0], np.cumsum(sizes)])
+            done = 0
+            while done < len(sizes):  # at least a text, at most about a block of ids
+                upto = max(done + 1, int(np.searchsorted(cuts, cuts[done] + BLOCK_CHARS // 4, side="right")) - 1)
+                texts = codec.decode(flat[cuts[done] : cuts[upto]], sizes[done:upto])
+                columns = [c.slice(done, upto - done) for c in batch.columns]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=schema.names)
+                done = upto
 
     return rows.mapInArrow(run, schema)
 
