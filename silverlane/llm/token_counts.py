@@ -26,9 +26,9 @@ SPACE = "▁"
 #: Stands before a pre-token when its pieces are counted; no piece contains it.
 ANCHOR = "\n"
 #: Distinct pre-tokens a task holds before it hands them on.
-HELD = 200_000
+HELD = 50_000
 #: So many frequent pre-tokens at most, each of so many characters at most, are sent to all tasks.
-FREQUENT = 262_144
+FREQUENT = 131_072
 FREQUENT_CHARS = 64
 
 
