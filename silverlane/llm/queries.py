@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlane.llm import bpe, simhash, token_counts
+from silverlane.llm import bpe, decontaminate, simhash, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), model)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of benchmark items inside all documents."""
+    found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.digests(found)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of all documents, and the texts they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,5 +38,5 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
-ALL = [op2_token_counts, op6_bpe, op8_simhash]
-SQL: dict[str, str] = {}
+ALL = [op2_token_counts, op3_decontaminate, op6_bpe, op8_simhash]
+SQL = {"op3_decontaminate": decontaminate.SQL}
