@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlane.llm import bpe, decontaminate, simhash, token_counts
+from silverlane.llm import bpe, decontaminate, simhash, token_counts, urls
+
+
+#: Rules of the URL filter, and domains that are blocked where no rule fits.
+ALLOWED = ("org/", "com/fr/")
+BLOCKED = ("example.org/es/", "example.org/en/1", "com/de/")
+BLOCKED_HOSTS = tuple(
+    f"{name}.example.{top}"
+    for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+    for top in ("com", "net", "org")
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,5 +48,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
-ALL = [op2_token_counts, op3_decontaminate, op6_bpe, op8_simhash]
-SQL = {"op3_decontaminate": decontaminate.SQL}
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule that fits each page's url, and the verdict."""
+    return urls.judge(_table(spark, sf_dir, "pages"), ALLOWED, BLOCKED, BLOCKED_HOSTS)
+
+
+ALL = [op2_token_counts, op3_decontaminate, op6_bpe, op8_simhash, op10_url_filter]
+SQL = {
+    "op3_decontaminate": decontaminate.SQL,
+    "op10_url_filter": urls.sql(ALLOWED, BLOCKED, BLOCKED_HOSTS),
+}
