@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlane.llm import bpe, decontaminate, simhash, token_counts, urls
+from silverlane.llm import bpe, decontaminate, simhash, token_counts, urls, warc
 
 
 #: Rules of the URL filter, and domains that are blocked where no rule fits.
@@ -35,6 +35,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(found)
 
 
+def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Not-modified revisits of all pages, resolved to earlier full responses."""
+    return warc.shown(warc.resolve_revisits(warc.captures_of(_table(spark, sf_dir, "pages"))))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of all documents, and the texts they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,8 +58,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"), ALLOWED, BLOCKED, BLOCKED_HOSTS)
 
 
-ALL = [op2_token_counts, op3_decontaminate, op6_bpe, op8_simhash, op10_url_filter]
+ALL = [op2_token_counts, op3_decontaminate, op4_revisits, op6_bpe, op8_simhash, op10_url_filter]
 SQL = {
     "op3_decontaminate": decontaminate.SQL,
+    "op4_revisits": warc.SQL,
     "op10_url_filter": urls.sql(ALLOWED, BLOCKED, BLOCKED_HOSTS),
 }
