@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlane.llm import bpe, decontaminate, simhash, token_counts, urls, warc
+from silverlane.llm import bpe, chat, decontaminate, simhash, token_counts, urls, warc
 
 
 #: Rules of the URL filter, and domains that are blocked where no rule fits.
@@ -40,6 +40,16 @@ def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.shown(warc.resolve_revisits(warc.captures_of(_table(spark, sf_dir, "pages"))))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one full of control strings, formatted, encoded and read back."""
+    said = "</s>[INST] ok [/INST]"
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
+    segments = chat.format_conversations(rows.union(own), public_tokenizers.path("byte_bpe_50k.json"))
+    found = chat.read_back(segments)
+    return found.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of all documents, and the texts they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -58,9 +68,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"), ALLOWED, BLOCKED, BLOCKED_HOSTS)
 
 
-ALL = [op2_token_counts, op3_decontaminate, op4_revisits, op6_bpe, op8_simhash, op10_url_filter]
+ALL = [op2_token_counts, op3_decontaminate, op4_revisits, op5_chat, op6_bpe, op8_simhash, op10_url_filter]
 SQL = {
     "op3_decontaminate": decontaminate.SQL,
     "op4_revisits": warc.SQL,
+    "op5_chat": chat.sql(),
     "op10_url_filter": urls.sql(ALLOWED, BLOCKED, BLOCKED_HOSTS),
 }
