@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlane.llm import bpe, chat, decontaminate, simhash, token_counts, urls, warc
+from silverlane.llm import bpe, chat, decontaminate, html_text, simhash, token_counts, urls, warc
 
 
 #: Rules of the URL filter, and domains that are blocked where no rule fits.
@@ -63,12 +63,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages, by a model trained on some of them and on labelled layouts."""
+    pages = _table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule that fits each page's url, and the verdict."""
     return urls.judge(_table(spark, sf_dir, "pages"), ALLOWED, BLOCKED, BLOCKED_HOSTS)
 
 
-ALL = [op2_token_counts, op3_decontaminate, op4_revisits, op5_chat, op6_bpe, op8_simhash, op10_url_filter]
+ALL = [op2_token_counts, op3_decontaminate, op4_revisits, op5_chat, op6_bpe, op8_simhash, op9_html_text, op10_url_filter]
 SQL = {
     "op3_decontaminate": decontaminate.SQL,
     "op4_revisits": warc.SQL,
