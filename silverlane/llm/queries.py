@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlane.llm import bpe, chat, decontaminate, html_text, simhash, token_counts, urls, warc
+from silverlane.llm import bpe, chat, decontaminate, html_text, langid, simhash, token_counts, urls, warc
 
 
 #: Rules of the URL filter, and domains that are blocked where no rule fits.
@@ -56,6 +56,19 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path))
 
 
+def in_fold(doc_id: str, fold: int, folds: int = 4) -> Column:
+    """Whether the document is in this fold; a null id is in none."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == fold, F.lit(False))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, by a model that has not seen those of fold 2."""
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit(docs, ~in_fold("doc_id", 2))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", in_fold("doc_id", 2).alias("held_out"), "lang_pred", "score", "languages")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents by SimHash."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
@@ -74,7 +87,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"), ALLOWED, BLOCKED, BLOCKED_HOSTS)
 
 
-ALL = [op2_token_counts, op3_decontaminate, op4_revisits, op5_chat, op6_bpe, op8_simhash, op9_html_text, op10_url_filter]
+ALL = [op2_token_counts, op3_decontaminate, op4_revisits, op5_chat, op6_bpe, op7_language_id, op8_simhash, op9_html_text, op10_url_filter]
 SQL = {
     "op3_decontaminate": decontaminate.SQL,
     "op4_revisits": warc.SQL,
