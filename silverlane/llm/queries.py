@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlane.llm import bpe, chat, decontaminate, html_text, langid, simhash, token_counts, urls, warc
+from silverlane.llm import bpe, chat, decontaminate, html_text, langid, permutation_index, simhash, token_counts, urls, warc
+from silverlane.llm.store import pick
 
 
 #: Rules of the URL filter, and domains that are blocked where no rule fits.
@@ -23,6 +24,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth one."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return permutation_index.nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentencepiece token counts of all documents."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -63,7 +70,7 @@ def in_fold(doc_id: str, fold: int, folds: int = 4) -> Column:
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of all documents, by a model that has not seen those of fold 2."""
-    docs = _table(spark, sf_dir, "documents")
+    docs = pick(_table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", lang="lang")
     model = langid.fit(docs, ~in_fold("doc_id", 2))
     found = langid.predict(docs, model)
     return found.select("doc_id", in_fold("doc_id", 2).alias("held_out"), "lang_pred", "score", "languages")
@@ -87,7 +94,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"), ALLOWED, BLOCKED, BLOCKED_HOSTS)
 
 
-ALL = [op2_token_counts, op3_decontaminate, op4_revisits, op5_chat, op6_bpe, op7_language_id, op8_simhash, op9_html_text, op10_url_filter]
+ALL = [op1_permutation_index, op2_token_counts, op3_decontaminate, op4_revisits, op5_chat, op6_bpe, op7_language_id, op8_simhash, op9_html_text, op10_url_filter]
 SQL = {
     "op3_decontaminate": decontaminate.SQL,
     "op4_revisits": warc.SQL,
