@@ -1,7 +1,60 @@
-"""Placeholder while the stages are being written."""
-STAGES = []
+"""The corpus pipeline: documents in, token ids of the documents worth training on out.
+
+Each stage takes what its predecessor kept, as a written table, and all but the last give rows of
+documents as they came.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from silverlane.llm import bpe, decontaminate, langid, simhash
+from silverlane.llm.queries import in_fold
+from silverlane.llm.store import pick, stored
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in which no language can be told: null texts, and those without letters."""
+    labelled = pick(docs, doc_id="doc_id", text="text", lang="lang")
+    return langid.known_only(docs, langid.fit(labelled, ~in_fold("doc_id", 2)))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id of each group of near-duplicates."""
+    return simhash.one_of_each(docs, shingle=4, distance=4)
+
+
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in which a passage of a benchmark item occurs."""
+    return decontaminate.clean_only(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, source, n_chars, n_tokens, ids); a document whose ids do not decode to its text is dropped."""
+    rows = pick(docs, doc_id="doc_id", text="text", lang="lang", source="source", n_chars="n_chars")
+    text = F.coalesce("text", F.lit(""))
+    kept = F.struct("doc_id", "lang", "source", "n_chars", F.sha2(text, 256).alias("digest")).alias("doc")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(rows.select(kept, "text"), path, doc_id="doc"), path)
+    same = coded.where(F.sha2("decoded", 256) == F.col("doc_id.digest"))
+    return same.select("doc_id.doc_id", "doc_id.lang", "doc_id.source", "doc_id.n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("language ID", known_language),
+    ("SimHash near-dedup", without_near_copies),
+    ("benchmark decontamination", without_benchmarks),
+    ("BPE encoding and decoding", tokens),
+]
+#: The model of the first stage and the fingerprints of the second are beyond SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, from the documents on."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

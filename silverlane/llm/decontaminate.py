@@ -212,6 +212,15 @@ def decontaminate(
     )
 
 
+def clean_only(docs: DataFrame, items: DataFrame, window: int = 10, text: str = "text") -> DataFrame:
+    """The rows of `docs` without any occurrence of a window of an item, as they are; null and empty texts stay."""
+    key = f"_{docs.columns.index(text)}"
+    numbered = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
+    texts = numbered.select(F.md5(key).alias("digest"), F.col(key).alias("text"))
+    hit = decontaminate(texts, items, window, doc_id="digest").where("n_hit > 0").select("doc_id").distinct()
+    return numbered.join(hit, F.md5(key) == F.col("doc_id"), "left_anti").toDF(*docs.columns)
+
+
 def digests(found: DataFrame) -> DataFrame:
     """The report with the items as a digest, and whether a document is contaminated."""
     return found.select(

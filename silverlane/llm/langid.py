@@ -197,20 +197,15 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
             T.StructField("languages", T.ArrayType(T.StringType())),
         ]
     )
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.grams, model.contexts))  # by buckets and languages
+    shared = _shared(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
         for batch in batches:
-            done, texts = 0, batch.column("text")
-            while done < len(texts):
-                block, chars = [], 0
-                while done + len(block) < len(texts) and chars < BLOCK_WORDS * 6:
-                    block.append(texts[done + len(block)].as_py())
-                    chars += len(block[-1] or "")
-                shares = model.mixtures(block)
+            done = 0
+            for block in _blocks(batch.column("text")):
                 names, scores, sets = [], [], []
-                for share in shares:
+                for share in model.mixtures(block):
                     order = [k for k in np.argsort(-share, kind="stable").tolist() if share[k] > 1e-6]
                     sets.append([model.languages[k] for k in order])
                     names.append(sets[-1][0] if order else UNKNOWN)
@@ -220,3 +215,36 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
                 done += len(block)
 
     return rows.mapInArrow(run, schema)
+
+
+def known_only(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of `docs` whose text is in some language of the model, as they are: those `predict` calls `und` go."""
+    numbered = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
+    at, shared = docs.columns.index(text), _shared(docs, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
+        for batch in batches:
+            kept = [model.mixtures(block).any(axis=1) for block in _blocks(batch.column(at))]
+            if kept:
+                yield batch.filter(pa.array(np.concatenate(kept)))
+
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
+
+
+def _shared(docs: DataFrame, model: Model):
+    """The model on all executors: two numbers for each bucket and language."""
+    return docs.sparkSession.sparkContext.broadcast((model.languages, model.grams, model.contexts))
+
+
+def _blocks(texts: pa.Array) -> Iterator[list[str | None]]:
+    """Runs of whole texts of about BLOCK_WORDS words."""
+    block, chars = [], 0
+    for text in texts:
+        block.append(text.as_py())
+        chars += len(block[-1] or "")
+        if chars >= BLOCK_WORDS * 6:
+            yield block
+            block, chars = [], 0
+    if block:
+        yield block
