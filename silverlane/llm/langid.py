@@ -167,7 +167,7 @@ def fit(docs: DataFrame, training: Column, most: int = SAMPLE, text: str = "text
         for lang, sums in kept.items():
             for kind, total in enumerate(sums):
                 at = np.flatnonzero(total)
-                columns = [pa.array([lang] * len(at)), pa.array([kind] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array(total[at])]
+                columns = [pa.array([lang] * len(at), pa.string()), pa.array([kind] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array(total[at])]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "kind", "bucket", "n"])
 
     some = stored(sample(docs, training, most), "labelled")
