@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from silverlane.schema import RISK_LEVELS
 
-NORMAL, MEDIUM, CRITICAL = RISK_LEVELS
-
 
 def mean_of_flags(*flags: str) -> Column:
     """Share of the flags that are set: 0, 0.5 or 1 for two detectors."""
@@ -18,8 +16,10 @@ def mean_of_flags(*flags: str) -> Column:
     return total / F.lit(float(len(flags)))
 
 
-def level_of(score: Column) -> Column:
-    return F.when(score == 1.0, CRITICAL).when(score > 0.0, MEDIUM).otherwise(NORMAL)
+def level_of(*flags: str) -> Column:
+    """No flag, some, or all of them."""
+    n = reduce(lambda a, b: a + b, [F.coalesce(F.col(f), F.lit(False)).cast("int") for f in flags])
+    return level_name((n > 0).cast("int") + (n == len(flags)).cast("int"))
 
 
 def severity(level: str) -> Column:

@@ -15,12 +15,22 @@ def broken_rules(
     channel: str = "channel",
     ts: str = "ts",
     channels: Sequence[str] = VALID_CHANNELS,
+    key: str = "transaction_id",
+    user: str = "user_id",
+    as_of: Column | None = None,
 ) -> dict[str, Column]:
-    """Reason -> true where the row breaks that rule. A NULL never passes."""
+    """Reason -> true where the row breaks that rule. A NULL never passes.
+
+    `as_of` is the time from which on a row counts as from the future, by default now.
+    """
+    time = F.col(ts).try_cast("timestamp")
     return {
+        "no_id": F.col(key).isNull(),
+        "no_user": F.col(user).isNull(),
         "bad_amount": ~holds(F.col(amount) > 0),
         "bad_channel": ~holds(F.col(channel).isin(*channels)),
-        "bad_ts": F.col(ts).try_cast("timestamp").isNull(),
+        "bad_ts": time.isNull(),
+        "future_ts": holds(time > (F.current_timestamp() if as_of is None else as_of)),
     }
 
 

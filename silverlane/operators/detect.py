@@ -1,67 +1,70 @@
 """Anomaly detectors over a user's transactions.
 
 Each detector has two forms that give the same columns. For ordinary users it is a window
-over the user, so several detectors in one plan share one exchange and one sort. For users
-that hold a large share of all rows (`skew.by_share`) it is built from aggregates with map-side
-combine and lookups, so that no task ever holds such a user's rows.
+over the user. For users that hold a large share of all rows it is built from aggregates with
+map-side combine and lookups, so that no task ever holds such a user's rows. Means and deviations
+are one aggregate for all users, so they do not depend on who counts as frequent.
+
+Detectors take rows or a `Split` of them by user and return the same. Chained detectors should be
+given a split, which asks for the frequent users once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from collections.abc import Callable
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverlane.functions.rules import holds
-from silverlane.operators.skew import Share, by_share, lookup, lookup_by_share
+from silverlane.operators.skew import Share, Split, lookup, lookup_by_share, split_by_share
 
 # Fixed defaults of the detectors.
 Z_THRESHOLD = 3.0
 WINDOW_S = 600
 MAX_TX = 5
 
-# More groups than this are not broadcast for the fallback.
-MAX_BROADCAST_GROUPS = 10_000
+Rows = DataFrame | Split
+
+
+def _on_split(df: Rows, user: str, share: Share, step: Callable[[Split], Split]) -> Rows:
+    """Run a step on a split, or split the rows for it alone."""
+    if isinstance(df, Split):
+        return step(df)
+    return step(split_by_share(df, [user], share)).rows()
+
+
+def _both(step: Callable[[DataFrame], DataFrame]) -> Callable[[Split], Split]:
+    return lambda split: split.apply(step, step)
 
 
 # -- amount far above the user's own mean ------------------------------------------------
 
 
 def zscore_alerts(
-    df: DataFrame,
+    df: Rows,
     threshold: float = Z_THRESHOLD,
     user: str = "user_id",
     amount: str = "amount",
     keep_stats: bool = True,
     share: Share = Share(),
-) -> DataFrame:
+) -> Rows:
     """Add `zscore_alert`: the amount lies over `threshold` sample deviations above the mean.
 
     One-sided, over all rows of the user. FALSE where the deviation is unknown or zero.
     """
-    out = by_share(
-        df,
-        [user],
-        lambda d: add_stats_windowed(d, user, amount),
-        lambda d: add_stats_frequent(d, user, amount),
-        share,
-    ).withColumn("zscore_alert", is_outlier(amount, "user_avg", "user_std", threshold))
-    return out if keep_stats else out.drop("user_avg", "user_std")
-
-
-def add_stats_windowed(df: DataFrame, user: str, amount: str) -> DataFrame:
-    return df.withColumns(_stats_over(Window.partitionBy(user), amount))
 
+    def judged(rows: DataFrame) -> DataFrame:
+        out = rows.withColumn("zscore_alert", is_outlier(amount, "user_avg", "user_std", threshold))
+        return out if keep_stats else out.drop("user_avg", "user_std")
 
-def _stats_over(whole: WindowSpec, amount: str) -> dict[str, Column]:
-    return {
-        "user_avg": F.avg(amount).over(whole),
-        "user_std": F.stddev_samp(amount).over(whole),
-    }
+    return _on_split(df, user, share, lambda split: _both(judged)(add_user_stats(split, user, amount)))
 
 
-def add_stats_frequent(df: DataFrame, user: str, amount: str) -> DataFrame:
-    """One statistics row per frequent user: few by definition, so they are broadcast."""
-    return lookup(df, F.broadcast(stats_by(df, user, amount, "user_avg", "user_std")), [user])
+def add_user_stats(split: Split, user: str, amount: str) -> Split:
+    """Add the user's mean and deviation, aggregated over the rows as they were split."""
+    return split.look_up(stats_by(split.whole, user, amount, "user_avg", "user_std"))
 
 
 def stats_by(df: DataFrame, key: str, amount: str, avg: str, std: str) -> DataFrame:
@@ -69,12 +72,10 @@ def stats_by(df: DataFrame, key: str, amount: str, avg: str, std: str) -> DataFr
 
 
 def is_outlier(amount: str, avg: str, std: str, threshold: float) -> Column:
-    distance = (F.col(amount) - F.col(avg)) / F.col(std)
-    return F.when(has_spread(std), distance > threshold).otherwise(F.lit(False))
-
-
-def has_spread(std: str) -> Column:
-    return F.col(std).isNotNull() & (F.col(std) > 0)
+    """Deviations from the mean against the threshold; FALSE without one, NULL without an amount."""
+    spread = F.nullif(F.col(std), F.lit(0))
+    deviations = (F.col(amount) - F.col(avg)) / spread
+    return F.when(spread.isNull() | F.isnan(spread), False).otherwise(deviations > threshold)
 
 
 # -- the same, falling back to the channel -----------------------------------------------
@@ -107,78 +108,55 @@ def add_both_stats(
 ) -> DataFrame:
     """Add mean and deviation of the user and of the channel.
 
-    Channel statistics are one row per channel. This function counts them (a job over one
-    column) and broadcasts them only if they are few; a dimension with many values is looked
-    up by shuffle, its frequent values by broadcast.
+    Adaptive execution chooses the join with the channels, whose frequent values are broadcast.
     """
-    out = by_share(
-        df,
-        [user],
-        lambda d: add_stats_windowed(d, user, amount),
-        lambda d: add_stats_frequent(d, user, amount),
-        share,
-    )
+    out = add_user_stats(split_by_share(df, [user], share), user, amount).rows()
     stats = stats_by(df, channel, amount, "channel_avg", "channel_std")
-    if stats.count() <= MAX_BROADCAST_GROUPS:
-        return lookup(out, F.broadcast(stats), [channel])
-    return lookup_by_share(out, stats, [channel], share)
+    asked = replace(share, count_in=df if share.count_in is None else share.count_in)
+    return lookup_by_share(out, stats, [channel], asked)
 
 
 def is_outlier_or_channel(amount: str, threshold: float) -> Column:
-    return F.when(
-        has_spread("user_std"), is_outlier(amount, "user_avg", "user_std", threshold)
-    ).otherwise(is_outlier(amount, "channel_avg", "channel_std", threshold))
+    by_user, by_channel = (is_outlier(amount, f"{x}_avg", f"{x}_std", threshold) for x in ("user", "channel"))
+    return F.when(F.col("user_std") > 0, by_user).otherwise(by_channel)
 
 
 # -- many transactions within a trailing window ------------------------------------------
 
 
 def frequency_alerts(
-    df: DataFrame,
+    df: Rows,
     window_s: int = WINDOW_S,
     max_tx: int = MAX_TX,
     user: str = "user_id",
     ts: str = "ts",
     keep_count: bool = True,
     share: Share = Share(),
-) -> DataFrame:
+) -> Rows:
     """Add `frequency_alert`: over `max_tx` rows of the user in the last `window_s` seconds.
 
     The window is inclusive and counts whole seconds; rows of the same second see each other,
-    and rows without a time form a group of their own.
+    and rows without a time form a group of their own. A time without zone is read in the session's.
     """
-    out = by_share(
-        df,
-        [user],
-        lambda d: add_count_windowed(d, window_s, user, ts),
-        lambda d: add_count_frequent(d, window_s, user, ts, share),
-        share,
-    ).withColumn("frequency_alert", F.col("window_tx") > max_tx)
-    return out if keep_count else out.drop("window_tx")
 
+    def judged(rows: DataFrame) -> DataFrame:
+        out = rows.withColumn("frequency_alert", F.col("window_tx") > max_tx)
+        return out if keep_count else out.drop("window_tx")
 
-def add_count_windowed(df: DataFrame, window_s: int, user: str, ts: str) -> DataFrame:
-    return (
-        df.withColumn("_second", F.unix_timestamp(ts))
-        .withColumn("window_tx", _trailing(F.count(F.lit(1)), [user], window_s))
-        .drop("_second")
-    )
+    def step(split: Split) -> Split:
+        counted = split.apply(
+            lambda d: add_count_windowed(d, window_s, user, ts),
+            lambda d: add_by_second(d, count_by_second(d, window_s, user, ts), user, ts, share),
+        )
+        return _both(judged)(counted)
 
+    return _on_split(df, user, share, step)
 
-def add_count_and_stats_windowed(
-    df: DataFrame, window_s: int, user: str, ts: str, amount: str
-) -> DataFrame:
-    """Both at once. With one order for all frames, Spark passes over the rows once."""
-    ordered = Window.partitionBy(user).orderBy("_second")
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+def add_count_windowed(df: DataFrame, window_s: int, user: str, ts: str) -> DataFrame:
     return (
         df.withColumn("_second", F.unix_timestamp(ts))
-        .withColumns(
-            {
-                "window_tx": _trailing(F.count(F.lit(1)), [user], window_s),
-                **_stats_over(whole, amount),
-            }
-        )
+        .withColumn("window_tx", _trailing(F.count(F.lit(1)), [user], window_s))
         .drop("_second")
     )
 
@@ -198,12 +176,6 @@ def _trailing(counted: Column, keys: list[str], window_s: int) -> Column:
     )
 
 
-def add_count_frequent(
-    df: DataFrame, window_s: int, user: str, ts: str, share: Share
-) -> DataFrame:
-    return add_by_second(df, count_by_second(df, window_s, user, ts), user, ts, share)
-
-
 def count_by_second(
     df: DataFrame, window_s: int, user: str, ts: str, top: str | None = None
 ) -> DataFrame:
@@ -246,22 +218,23 @@ def add_by_second(
 
 
 def label_confirmed(
-    df: DataFrame,
+    df: Rows,
     first: str = "zscore_alert",
     second: str = "frequency_alert",
     user: str = "user_id",
     label: str = "is_fraud",
     share: Share = Share(),
-) -> DataFrame:
+) -> Rows:
     """Label every row of a user who has some row with both alerts."""
     both = F.col(first) & F.col(second)
-    return by_share(
-        df,
-        [user],
-        lambda d: label_windowed(d, both, user, label),
-        lambda d: label_frequent(d, both, user, label),
-        share,
-    )
+
+    def step(split: Split) -> Split:
+        return split.apply(
+            lambda d: label_windowed(d, both, user, label),
+            lambda d: label_users(d, d.where(both), user, label),
+        )
+
+    return _on_split(df, user, share, step)
 
 
 def label_windowed(df: DataFrame, evidence: Column, user: str, label: str) -> DataFrame:
@@ -269,12 +242,8 @@ def label_windowed(df: DataFrame, evidence: Column, user: str, label: str) -> Da
     return df.withColumn(label, F.col(user).isNotNull() & holds(some))
 
 
-def label_frequent(df: DataFrame, evidence: Column, user: str, label: str) -> DataFrame:
-    return label_users(df, df.where(evidence), user, label)
-
-
 def label_users(df: DataFrame, evidence: DataFrame, user: str, label: str) -> DataFrame:
-    """Label the rows of the frequent users that occur in `evidence`: few, so broadcast."""
+    """Label the rows of users that occur in `evidence`, broadcast: for rows of frequent users only, which are few."""
     found = evidence.select(user).distinct().withColumn("_some", F.lit(True))
     return (
         lookup(df, F.broadcast(found), [user])

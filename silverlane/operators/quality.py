@@ -21,15 +21,18 @@ def clean(
     channel: str = "channel",
     ts: str = "ts",
     channels: Sequence[str] = VALID_CHANNELS,
+    user: str = "user_id",
+    as_of: Column | None = None,
 ) -> DataFrame:
     """Valid rows with a typed time, one per key, stamped with the processing time.
 
+    Rows without a key or a user, and rows from after `as_of` (by default now), are refused.
     on_bad_ts="reject" refuses rows whose time cannot be read, "keep" leaves it NULL.
     Rows are filtered before copies are removed, so a valid copy outlives an invalid one.
     """
     if on_bad_ts not in ("reject", "keep"):
         raise ValueError(f"on_bad_ts must be 'reject' or 'keep', not {on_bad_ts!r}")
-    broken = broken_rules(amount, channel, ts, channels)
+    broken = broken_rules(amount, channel, ts, channels, key, user, as_of)
     if on_bad_ts == "keep":
         del broken["bad_ts"]
     valid = df.where(~reduce(lambda a, b: a | b, broken.values())).withColumn(
@@ -51,10 +54,13 @@ def first_copy(df: DataFrame, key: str, ts: str) -> DataFrame:
 
 
 def reject_reasons(
-    df: DataFrame, key: str = "transaction_id", channels: Sequence[str] = VALID_CHANNELS
+    df: DataFrame,
+    key: str = "transaction_id",
+    channels: Sequence[str] = VALID_CHANNELS,
+    as_of: Column | None = None,
 ) -> DataFrame:
     """(reason, n) over raw rows in one pass; a row may break several rules."""
-    broken = broken_rules(channels=channels)
+    broken = broken_rules(channels=channels, key=key, as_of=as_of)
     valid = ~reduce(lambda a, b: a | b, broken.values())
     counted = df.agg(
         *[F.count_if(rule).alias(reason) for reason, rule in broken.items()],
@@ -67,7 +73,7 @@ def quality_report(
     df: DataFrame, key: str = "transaction_id", channels: Sequence[str] = VALID_CHANNELS
 ) -> DataFrame:
     """What `clean` would refuse of these raw rows: counts and the share in percent."""
-    valid = ~reduce(lambda a, b: a | b, broken_rules(channels=channels).values())
+    valid = ~reduce(lambda a, b: a | b, broken_rules(channels=channels, key=key).values())
     counted = df.agg(
         F.count(F.lit(1)).alias("n_bronze"), _distinct(valid, key).alias("n_silver")
     )
@@ -90,8 +96,7 @@ def _with_rejected(counted: DataFrame) -> DataFrame:
 
 
 def _distinct(valid: Column, key: str) -> Column:
-    # In a struct the NULL key counts as one key, as it does when copies are removed.
-    return F.count_distinct(F.when(valid, F.struct(key)))
+    return F.count_distinct(F.when(valid, F.col(key)))
 
 
 def channel_report(silver: DataFrame) -> DataFrame:

@@ -42,9 +42,34 @@ class Share:
 
 @dataclass(frozen=True)
 class Split:
+    """Rows split by whether their key is frequent, once for all steps that follow.
+
+    A step runs on both parts, so a chain of steps costs one question for the keys and one union.
+    """
+
+    whole: DataFrame  # the rows as they were split
     common: DataFrame  # rows of all keys that are not frequent
-    frequent: DataFrame  # rows of the frequent keys
-    keys: DataFrame  # the frequent keys, fewer than max_keys rows
+    frequent: DataFrame | None  # rows of the frequent keys, if there are any
+    keys: DataFrame | None  # the frequent keys, fewer than max_keys rows
+    by: tuple[str, ...]
+
+    def apply(self, common: Transform, frequent: Transform) -> Split:
+        """The split with `common` run on the rows of ordinary keys and `frequent` on the rest."""
+        rest = None if self.frequent is None else frequent(self.frequent)
+        return replace(self, common=common(self.common), frequent=rest)
+
+    def transform(self, step: Callable[..., Split], *args, **kwargs) -> Split:
+        return step(self, *args, **kwargs)
+
+    def rows(self) -> DataFrame:
+        return self.common if self.frequent is None else self.common.unionByName(self.frequent)
+
+    def look_up(self, side: DataFrame) -> Split:
+        """Add the columns of `side`, one row per key: by shuffle, and by broadcast for the few frequent keys."""
+        return self.apply(
+            lambda df: lookup(df, side, self.by),
+            lambda df: lookup(df, F.broadcast(lookup(side, self.keys, self.by, "left_semi")), self.by),
+        )
 
 
 def lookup(rows: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -64,17 +89,19 @@ def frequent_keys(df: DataFrame, keys: Sequence[str], share: Share) -> DataFrame
     ).select(*keys)
 
 
-def split_by_share(df: DataFrame, keys: Sequence[str], share: Share = Share()) -> Split | None:
-    """Split the rows by whether their key is frequent; None if no key is."""
+def split_by_share(df: DataFrame, keys: Sequence[str], share: Share = Share()) -> Split:
+    """Split the rows by whether their key is frequent."""
     frequent = frequent_keys(df if share.count_in is None else share.count_in, keys, share)
     found = frequent.collect()  # bounded by share.max_keys, see above
     if not found:
-        return None
+        return Split(df, df, None, None, tuple(keys))
     few = F.broadcast(df.sparkSession.createDataFrame(found, frequent.schema))
     return Split(
+        whole=df,
         common=lookup(df, few, keys, "left_anti"),
         frequent=lookup(df, few, keys, "left_semi"),
         keys=few,
+        by=tuple(keys),
     )
 
 
@@ -86,10 +113,7 @@ def by_share(
     share: Share = Share(),
 ) -> DataFrame:
     """Run `common` on the rows of ordinary keys, `frequent` on the rest; same columns out."""
-    split = split_by_share(df, keys, share)
-    if split is None:
-        return common(df)
-    return common(split.common).unionByName(frequent(split.frequent))
+    return split_by_share(df, keys, share).apply(common, frequent).rows()
 
 
 def lookup_by_share(
@@ -100,10 +124,4 @@ def lookup_by_share(
     The rows of frequent keys meet a broadcast of their few `side` rows; all others
     are joined by a shuffle on the keys.
     """
-    split = split_by_share(rows, keys, share)
-    if split is None:
-        return lookup(rows, side, keys)
-    few = lookup(side, split.keys, keys, "left_semi")
-    return lookup(split.common, side, keys).unionByName(
-        lookup(split.frequent, F.broadcast(few), keys)
-    )
+    return split_by_share(rows, keys, share).look_up(side).rows()

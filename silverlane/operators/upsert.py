@@ -5,21 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_KEYS = 500_000
 
+def absent_from(source: DataFrame, target: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """Source rows whose key the target does not hold; a NULL key equals a NULL key.
 
-def absent_from(
-    source: DataFrame, target: DataFrame, key: str = "transaction_id", n_source: int | None = None
-) -> DataFrame:
-    """Source rows whose key the target does not hold. The first writer of a key wins.
-
-    The target is usually far larger than the source. If the caller has counted the source and
-    it is small, its keys are broadcast to find the ones already present, so that the target
-    is read (one column) but never shuffled. Otherwise both sides are shuffled on the key.
+    Reads one column of the target. How to join is left to adaptive execution, which knows the sizes.
     """
-    keys = target.select(key)
-    if n_source is not None and n_source <= MAX_BROADCAST_KEYS:
-        arriving = source.select(key)
-        present = keys.join(F.broadcast(arriving), key, "left_semi").distinct()
-        return source.join(F.broadcast(present), key, "left_anti")  # at most the source's keys
-    return source.join(keys, key, "left_anti")
+    held = target.select(F.col(key).alias("_held"))
+    return source.join(held, F.col(key).eqNullSafe(F.col("_held")), "left_anti")

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from silverlane.functions.risk import level_of, mean_of_flags
 from silverlane.operators import detect
-from silverlane.operators.skew import Share, by_share, lookup
-from silverlane.sources.commits import CommittedTable
+from silverlane.operators.skew import Share, lookup, split_by_share
 
 
 def gold_alerts(
@@ -22,8 +21,7 @@ def gold_alerts(
 ) -> DataFrame:
     """Score every Silver row. Parameters can be changed per run without touching code.
 
-    All three per-user steps run on the same split of the input. For ordinary users the sort by
-    (user, second) also serves the steps that only need the user: one exchange and one sort.
+    The rows are split by user once, and all steps run on that split.
     """
     user, amount, ts = "user_id", "amount", "ts"
     both = F.col("zscore_alert") & F.col("frequency_alert")
@@ -35,7 +33,7 @@ def gold_alerts(
 
     def common(df: DataFrame) -> DataFrame:
         return (
-            df.transform(detect.add_count_and_stats_windowed, window_s, user, ts, amount)
+            df.transform(detect.add_count_windowed, window_s, user, ts)
             .transform(flags)
             .transform(detect.label_windowed, both, user, "is_fraud")
         )
@@ -44,21 +42,21 @@ def gold_alerts(
         # Some row has both alerts exactly if the largest amount of its second has them, so the
         # label is found among the seconds and the rows are joined once.
         seconds = detect.count_by_second(df, window_s, user, ts, top=amount)
-        stats = F.broadcast(detect.stats_by(df, user, amount, "user_avg", "user_std"))
-        evidence = lookup(seconds, stats, [user]).transform(flags).where(both)
+        users = df.groupBy(user).agg(F.first("user_avg").alias("user_avg"), F.first("user_std").alias("user_std"))
+        evidence = lookup(seconds, F.broadcast(users), [user]).transform(flags).where(both)  # frequent users only
         return (
-            lookup(df, stats, [user])
-            .transform(detect.add_by_second, seconds.drop(amount), user, ts, share)
+            df.transform(detect.add_by_second, seconds.drop(amount), user, ts, share)
             .transform(flags)
             .transform(detect.label_users, evidence, user, "is_fraud")
         )
 
     typed = silver.drop("is_fraud").withColumn(ts, F.col(ts).try_cast("timestamp"))
-    scored = by_share(typed, [user], common, frequent, share)
+    split = detect.add_user_stats(split_by_share(typed, [user], share), user, amount)
+    scored = split.apply(common, frequent).rows()
     return (
         scored.withColumn("alert", F.col("zscore_alert") | F.col("frequency_alert"))
         .withColumn("score", mean_of_flags("zscore_alert", "frequency_alert"))
-        .withColumn("risk_level", level_of(F.col("score")))
+        .withColumn("risk_level", level_of("zscore_alert", "frequency_alert"))
         .withColumn("layer", F.lit("gold"))
         .withColumn("processed_at", F.current_timestamp())
     )
@@ -84,15 +82,8 @@ def run_parameters(given: Mapping[str, str]) -> dict[str, float | int]:
 
 
 def replace_gold(
-    gold: CommittedTable,
-    silver: DataFrame,
-    run_key: str,
-    given: Mapping[str, str] | None = None,
-    share: Share = Share(),
+    path: str, silver: DataFrame, given: Mapping[str, str] | None = None, share: Share = Share()
 ) -> None:
-    """Score Silver again and let the result take the place of Gold, in one commit.
-
-    Readers see the former Gold until the commit, and can go back to it by version.
-    """
+    """Score Silver again and let the result take the place of all that is stored in `path`."""
     scored = gold_alerts(silver, **run_parameters(given or {}), share=share)
-    gold.write(scored, run_key, "OVERWRITE", overwrite=True)
+    scored.write.mode("overwrite").partitionBy("layer").parquet(path)

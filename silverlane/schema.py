@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Fixed values of the data model.
+# Channels that count as valid unless a caller names others.
 VALID_CHANNELS = ("app", "qr", "agent", "api")
 LAYERS = ("bronze", "silver", "gold")
 RISK_LEVELS = ("NORMAL", "MEDIUM", "CRITICAL")  # rising severity
@@ -22,6 +22,7 @@ RAW = T.StructType(
     ]
 )
 CORRUPT = "_corrupt_record"
+OTHER = "_other_fields"  # JSON of the fields that the schema does not have
 
 # The Silver row. `layer` is last because it is a partition column of the files.
 TRANSACTION = T.StructType(

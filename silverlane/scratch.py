@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in `spark.checkpoint.dir`.
-
-    Only a local master may go without it: there one machine is the whole cluster.
-    """
+    """The shared folder the cluster names in `spark.checkpoint.dir`, else one below the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="silverlane-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

@@ -10,65 +10,66 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlane.schema import CORRUPT, RAW
+from silverlane.schema import CORRUPT, OTHER, RAW
 
 MAX_FILES_PER_TRIGGER = 500  # fixed value
 
 
-def with_lineage(df: DataFrame) -> DataFrame:
-    """Where and when each row came in. The fraud label is unknown at this point."""
-    return df.withColumns(
-        {
-            "source_file": F.col("_metadata.file_path"),
-            "ingested_at": F.current_timestamp(),
-            "layer": F.lit("bronze"),
-            "is_fraud": F.lit(False),
-        }
-    )
-
-
 LINEAGE = (
     T.StructField("source_file", T.StringType()),
     T.StructField("ingested_at", T.TimestampType()),
     T.StructField("layer", T.StringType()),
     T.StructField("is_fraud", T.BooleanType()),
 )
+LINE = T.StructType([T.StructField("value", T.StringType())])
+MISSING = T.StructType([T.StructField("missing", T.BooleanType())])
 
 
-def read_landing(spark: SparkSession, path: str, schema: T.StructType = RAW) -> DataFrame:
-    """All landed rows; lines that are not JSON are kept whole in the corrupt-record column.
+def parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of lines of JSON, with the columns that say what did not fit and where each row came from.
 
-    A folder that does not exist yet gives no rows, like an empty one.
+    A line that is not JSON is kept whole in the corrupt-record column. Fields the schema does not have are
+    kept as JSON in one text column. The fraud label is unknown at this point.
     """
-    schema = _tolerant(schema)
-    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
-    return read_if_present(
-        spark,
-        lambda found: with_lineage(reader.json(found)),
-        path,
-        T.StructType([*schema.fields, *LINEAGE]),
+    names = [n for n in schema.names if n not in (CORRUPT, OTHER)]
+    fields = T.StructType([*(schema[n] for n in names), T.StructField(CORRUPT, T.StringType())])
+    row = F.from_json("value", fields, {"columnNameOfCorruptRecord": CORRUPT})
+    rest = F.map_filter(F.from_json("value", "map<string,string>"), lambda name, _: ~name.isin(*names))
+    return lines.where(F.trim("value") != "").select(
+        *[row[n].alias(n) for n in [*names, CORRUPT]],
+        F.when(F.size(rest) > 0, F.to_json(rest)).alias(OTHER),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.current_timestamp().alias("ingested_at"),
+        F.lit("bronze").alias("layer"),
+        F.lit(False).alias("is_fraud"),
     )
 
 
+def read_landing(spark: SparkSession, path: str, schema: T.StructType = RAW) -> DataFrame:
+    """All landed rows. A folder that does not exist yet gives none, like an empty one."""
+    names = [n for n in schema.names if n not in (CORRUPT, OTHER)]
+    extra = [T.StructField(CORRUPT, T.StringType()), T.StructField(OTHER, T.StringType())]
+    out = T.StructType([*(schema[n] for n in names), *extra, *LINEAGE])
+    return read_if_present(spark, lambda found: parsed(spark.read.text(found), schema), path, out)
+
+
 def stream_landing(
     spark: SparkSession,
     path: str,
-    schema: T.StructType = RAW,
+    schema: T.StructType | None = None,
     max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+    saved_at: str | None = None,
 ) -> DataFrame:
-    """The same as a stream of files not seen before."""
-    return with_lineage(
-        spark.readStream.schema(_tolerant(schema))
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .json(path)
-    )
-
+    """The same as a stream of files not seen before; a folder that does not exist yet is made.
 
-def _tolerant(schema: T.StructType) -> T.StructType:
-    if CORRUPT in schema.names:
-        return schema
-    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    The schema is the one given, or the one saved at `saved_at` (inferred and saved by the first run).
+    """
+    if read_if_present(spark, spark.read.text, path, MISSING).columns == MISSING.names:
+        spark.createDataFrame([], LINE).coalesce(1).write.mode("append").text(path)
+    if schema is None:
+        schema = RAW if saved_at is None else infer_schema(spark, path, saved_at)
+    lines = spark.readStream.schema(LINE).format("text").option("maxFilesPerTrigger", max_files_per_trigger)
+    return parsed(lines.load(path), schema)
 
 
 def read_if_present(
@@ -109,19 +110,30 @@ def schema_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     )
 
 
+FILES = T.StructType(
+    [
+        T.StructField("name", T.StringType()),
+        T.StructField("size_kb", T.DoubleType()),
+        T.StructField("modified_at", T.TimestampType()),
+    ]
+)
+
+
 def inventory(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
-    """Name and size of every file, by name; the contents are not read."""
+    """Name and size of every file, by name; the contents are not read. A missing folder has none."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    return (
-        files.option("recursiveFileLookup", "true")
-        .load(path)
+    return read_if_present(
+        spark,
+        lambda found: files.option("recursiveFileLookup", "true")
+        .load(found)
         .select(
             F.element_at(F.split("path", "/"), -1).alias("name"),
             (F.col("length") / 1024).alias("size_kb"),
             F.col("modificationTime").alias("modified_at"),
-        )
-        .orderBy("name")
-    )
+        ),
+        path,
+        FILES,
+    ).orderBy("name")
 
 
 def inventory_total(files: DataFrame) -> DataFrame:

@@ -65,12 +65,15 @@ def main() -> int:
 
     sf_dir = f"/root/testdata/{sys.argv[1] if len(sys.argv) > 1 else 'sf0.01'}"
     names = sys.argv[2:] or list(entry.queries())
+    shared = os.environ.get("SHARED_DIR", os.path.abspath("spark-warehouse"))
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"{shared}/_scratch")
+        .config("spark.sql.warehouse.dir", shared)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -129,9 +129,7 @@ def test_no_alert_without_a_deviation(spark, share):
 
 
 @pytest.mark.parametrize("share", SHARES)
-@pytest.mark.parametrize("broadcast_up_to", [10, 0])
-def test_fallback_judges_new_users_by_the_channel(spark, share, broadcast_up_to, monkeypatch):
-    monkeypatch.setattr(detect, "MAX_BROADCAST_GROUPS", broadcast_up_to)
+def test_fallback_judges_new_users_by_the_channel(spark, share):
     rows = [(f"new{i}", 10 + i % 3, "app", i) for i in range(30)]
     rows += [("new", 1000, "app", 99), ("lone", 1000, None, 1), ("lone2", 1, None, 1)]
     df = frame(spark, rows)
@@ -154,6 +152,29 @@ def test_labels_from_a_table(spark, share):
     assert column(out, "is_fraud") == [True, False, False]
 
 
+@pytest.mark.parametrize("share", SHARES)
+def test_a_chain_over_one_split_equals_single_detectors(spark, share):
+    rows = [("hot", 10 + i % 3, "app", i // 4) for i in range(30)] + [("hot", 900, "app", 7)]
+    rows += [("u", 5, "qr", i) for i in range(3)] + [(None, 1, "qr", 1), ("v", None, "qr", None)]
+    df = frame(spark, rows)
+    split = split_by_share(df, ["user_id"], share)
+    chained = (
+        split.transform(detect.zscore_alerts, threshold=3.0)
+        .transform(detect.frequency_alerts, window_s=1, max_tx=5)
+        .transform(detect.label_confirmed)
+    )
+    single = df
+    for step in (
+        lambda d: detect.zscore_alerts(d, 3.0, share=share),
+        lambda d: detect.frequency_alerts(d, 1, 5, share=share),
+        lambda d: detect.label_confirmed(d, share=share),
+    ):
+        single = step(single)
+    for name in ("zscore_alert", "window_tx", "frequency_alert", "is_fraud"):
+        assert column(chained.rows(), name) == column(single, name)
+    assert True in column(single, "is_fraud")
+
+
 def test_label_confirmed_marks_all_rows_of_the_user(spark):
     df = spark.createDataFrame(
         [("a", "u", True, True), ("b", "u", False, False), ("c", "v", True, False), ("d", None, True, True)],
@@ -170,12 +191,12 @@ def test_split_keeps_every_row_once(spark):
     split = split_by_share(df, ["user_id"], Share(min_rows=10, max_keys=1_000))
     assert sorted(str(r[0]) for r in split.keys.collect()) == ["None", "hot"]
     assert (split.common.count(), split.frequent.count()) == (30, 70)
-    assert split_by_share(df, ["user_id"]) is None
+    assert split_by_share(df, ["user_id"]).frequent is None
 
 
 def test_the_number_of_frequent_keys_is_bounded(spark):
     df = frame(spark, [(f"u{i}", 1, "app", i) for i in range(50)])
-    assert split_by_share(df, ["user_id"], Share(min_rows=0, max_keys=40)) is None
+    assert split_by_share(df, ["user_id"], Share(min_rows=0, max_keys=40)).frequent is None
     assert split_by_share(df, ["user_id"], Share(min_rows=0, max_keys=60)).keys.count() == 50
 
 

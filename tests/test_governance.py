@@ -50,7 +50,7 @@ def test_contract_and_comments(spark, transactions):
     notes = {"device": COLUMN_NOTES["device"], "layer": "the layer"}
     contract.register_contract(spark, transactions, CONTRACT, "A 'fine' table", notes)
     read = {r["property"]: r["value"] for r in contract.read_contract(spark, transactions).collect()}
-    assert len(read) == 13 and read["sla_freshness"] == "1h" and read["pii_columns"] == "user_id,device"
+    assert len(read) == 13 and read["sla_freshness"] == "one hour" and read["pii_columns"] == "device"
     noted = {r["column"]: r["comment"] for r in contract.column_documentation(spark, transactions).collect()}
     assert noted["device"] == COLUMN_NOTES["device"] and noted["layer"] == "the layer"
     assert catalog.describe(spark, transactions)["comment"] == "A 'fine' table"

@@ -33,15 +33,14 @@ def executed(df) -> str:
     return plan.split("== Initial Plan ==")[0]
 
 
-def test_gold_over_a_table_is_one_exchange_and_one_sort(spark, where):
+def test_gold_over_a_table_exchanges_its_rows_once(spark, where):
     from silverlane.plans.gold import gold_alerts
     from workload.inputs import silver
 
     silver(spark, SF).write.parquet(where)
     plan = executed(gold_alerts(spark.read.parquet(where)))
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.count("Sort [") == 1
-    assert plan.count("Window [") == 2
+    assert plan.count("Exchange hashpartitioning") == 2  # the rows, and one row of statistics for each user and task
+    assert plan.count("FileScan parquet") == 2 and plan.count("Window [") == 2
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
@@ -53,3 +52,29 @@ def test_reports_read_only_the_columns_they_need(spark, where):
     plan = profile_by_city(spark.read.parquet(where))._jdf.queryExecution().sparkPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
     assert scans and not any("device" in s or "transaction_id" in s for s in scans)
+
+
+def test_a_city_profile_reads_its_input_once(spark):
+    from silverlane.plans.profiles import profile_by_city
+    from workload.inputs import silver
+
+    plan = executed(profile_by_city(silver(spark, SF)))
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_chained_detectors_over_one_split_read_it_few_times(spark, where):
+    from silverlane.operators import detect
+    from silverlane.operators.skew import Share, split_by_share
+    from workload.inputs import silver
+
+    silver(spark, SF).write.parquet(where)
+    rows = spark.read.parquet(where)
+    split = split_by_share(rows, ["user_id"], Share(min_rows=40, max_keys=1_000))
+    assert split.frequent is not None
+    chained = (
+        split.transform(detect.zscore_alerts)
+        .transform(detect.frequency_alerts, window_s=86_400, max_tx=5)
+        .transform(detect.label_confirmed)
+    )
+    plan = executed(chained.rows())
+    assert plan.count("FileScan parquet") <= 6

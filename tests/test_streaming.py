@@ -5,8 +5,9 @@ import json
 import pytest
 
 from silverlane.schema import TRANSACTION
-from silverlane.sources import commits, landing
-from silverlane.sources.commits import CommittedTable
+from silverlane.functions.rules import table_constraints
+from silverlane.sources import landing
+from silverlane.sources.writes import WRITE_ID, WrittenTable
 from silverlane.streaming import silver
 
 
@@ -26,7 +27,7 @@ def land(spark, path, *rows):
 
 @pytest.fixture
 def world(spark, where):
-    return f"{where}/landing", CommittedTable(spark, f"{where}/silver", TRANSACTION), f"{where}/ckpt"
+    return f"{where}/landing", WrittenTable(spark, f"{where}/silver", TRANSACTION, table_constraints()), f"{where}/ckpt"
 
 
 def stored(table):
@@ -41,11 +42,11 @@ def run(spark, world, files=1, checkpoint=""):
 def test_batches_are_deduplicated_within_and_between(spark, world):
     path, table, _ = world
     land(spark, path, ("a", 1.0), ("a", 1.0), ("bad", -1.0))
-    land(spark, path, ("a", 7.0), ("b", 2.0), ("x", 1.0, "whatsapp", "2024-01-01T00:00:00"))
+    land(spark, path, ("a", 7.0), ("b", 2.0), ("x", 1.0, "pigeon", "2024-01-01T00:00:00"))
     run(spark, world)
     ids = [i for i, _ in stored(table)]
     assert ids == ["a", "b"]
-    metrics = commits.batch_metrics(table).collect()
+    metrics = silver.batch_metrics(table).collect()
     assert sum(m["n_raw"] for m in metrics) == 6
     assert sorted(m["n_valid"] for m in metrics) == [1, 2]
     assert sum(m["n_inserted"] for m in metrics) == 2
@@ -54,7 +55,7 @@ def test_batches_are_deduplicated_within_and_between(spark, world):
     assert lineage["source_file"].endswith(".txt") and lineage["ingested_at"] and not lineage["is_fraud"]
 
     run(spark, world)  # nothing new
-    assert len(table.log()) == len(metrics)
+    assert silver.batch_metrics(table).count() == len(metrics)
     land(spark, path, ("c", 3.0), ("b", 9.0))
     run(spark, world)
     assert stored(table)[1:] == [("b", 2.0), ("c", 3.0)]
@@ -66,30 +67,74 @@ def test_a_new_checkpoint_reads_all_again_and_changes_nothing(spark, world):
     run(spark, world)
     before = stored(table)
     run(spark, world, checkpoint="-new")
-    assert stored(table) == before and len(table.log()) == 2
+    assert stored(table) == before and silver.batch_metrics(table).count() == 2
 
 
-@pytest.mark.parametrize("dies", ["before the commit", "after the commit"])
+@pytest.mark.parametrize("dies", ["before the rows", "before the keys", "after the keys"])
 def test_a_replayed_batch_is_written_once(spark, world, dies, monkeypatch):
     path, table, _ = world
     land(spark, path, ("a", 1.0), ("b", 2.0))
-    write = CommittedTable.write
-
-    def fails(self, df, write_key, *args, **kwargs):
-        if dies == "before the commit":
-            folder = self._folder(write_key)
-            df.select(self.schema.names).write.mode("overwrite").partitionBy("layer").parquet(folder)
-        else:
-            write(self, df, write_key, *args, **kwargs)
+    write, insert = WrittenTable.write, WrittenTable.insert_absent
+
+    def fails(self, df, write_id):
+        if dies == "before the keys":
+            write(self, df, write_id)
+        if dies == "after the keys":
+            insert(self, df, write_id)
         raise RuntimeError("killed")
 
     with monkeypatch.context() as patched:
-        patched.setattr(CommittedTable, "write", fails)
+        patched.setattr(WrittenTable, "insert_absent" if dies == "after the keys" else "write", fails)
         with pytest.raises(Exception, match="killed"):
             run(spark, world)
     run(spark, world)
     assert stored(table) == [("a", 1.0), ("b", 2.0)]
-    assert len(table.log()) == 1
+    assert silver.batch_metrics(table).count() == 1
+    assert sorted(r["transaction_id"] for r in table.keys().collect()) == ["a", "b"]
+
+
+def test_rows_without_an_id_never_reach_silver(spark, world):
+    path, table, _ = world
+    for _ in range(2):
+        land(spark, path, (None, 1.0), ("z", 1.0, "app", "2612-05-04T00:00:00"))
+        run(spark, world)
+    assert stored(table) == []
+    assert [m["n_rejected"] for m in silver.batch_metrics(table).collect()] == [2, 2]
+
+
+def test_channels_are_passed_through(spark, world):
+    path, table, ckpt = world
+    land(spark, path, ("a", 1.0, "kiosk", "2024-01-01T00:00:00"), ("b", 1.0))
+    loose = WrittenTable(spark, table.root, TRANSACTION, table_constraints(channels=("kiosk",)))
+    silver.run_silver(landing.stream_landing(spark, path), loose, ckpt, channels=("kiosk",))
+    assert [i for i, _ in stored(loose)] == ["a"]
+
+
+def test_a_batch_does_not_read_the_rows_of_silver(spark, world):
+    path, table, _ = world
+    land(spark, path, ("a", 1.0))
+    run(spark, world)
+    from silverlane.sources import writes
+
+    new = table.read().drop(WRITE_ID).limit(0)
+    absent = writes.absent(writes._hashed(new, table.key, table.buckets), table.keys(), table.key)
+    scans = [line for line in absent._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation" in line]
+    assert len(scans) <= 2
+    read = table.keys().inputFiles()
+    assert read and all("/keys/" in f for f in read)
+
+
+def test_compacted_keys_say_the_same(spark, world):
+    path, table, ckpt = world
+    for name in "abc":
+        land(spark, path, (name, 1.0))
+        run(spark, world)
+    compacted = table.compact_keys("keys-2")
+    assert sorted(r["transaction_id"] for r in compacted.keys().collect()) == ["a", "b", "c"]
+    assert compacted.keys().select(WRITE_ID).distinct().count() == 1
+    land(spark, path, ("b", 5.0), ("d", 4.0))
+    silver.run_silver(landing.stream_landing(spark, path), compacted, ckpt)
+    assert stored(compacted) == [("a", 1.0), ("b", 1.0), ("c", 1.0), ("d", 4.0)]
 
 
 def test_a_batch_without_valid_rows(spark, world):
@@ -97,7 +142,7 @@ def test_a_batch_without_valid_rows(spark, world):
     land(spark, path, ("bad", -1.0), "not json at all")
     run(spark, world)
     assert stored(table) == []
-    m = commits.batch_metrics(table).first()
+    m = silver.batch_metrics(table).first()
     assert (m["n_raw"], m["n_valid"], m["n_inserted"]) == (2, 0, 0)
 
 
@@ -124,6 +169,33 @@ def test_batch_reading(spark, where):
     assert rows[None]["_corrupt_record"] == "{broken"
 
 
+def test_missing_folders(spark, where):
+    assert landing.inventory(spark, f"{where}/nothing").collect() == []
+    assert landing.inventory_total(landing.inventory(spark, f"{where}/nothing")).first()["n_files"] == 0
+    table = WrittenTable(spark, f"{where}/silver", TRANSACTION)
+    silver.run_silver(landing.stream_landing(spark, f"{where}/later"), table, f"{where}/ckpt")
+    assert stored(table) == []
+    land(spark, f"{where}/later", ("a", 1.0))
+    silver.run_silver(landing.stream_landing(spark, f"{where}/later"), table, f"{where}/ckpt")
+    assert stored(table) == [("a", 1.0)]
+
+
+def test_unknown_fields_are_kept(spark, where):
+    lines = ['{"transaction_id": "a", "amount": 1.5, "new": {"x": [1, 2]}, "more": null}', '{"transaction_id": "b"}', "", "[1"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{where}/in")
+    rows = {r["transaction_id"]: r for r in landing.read_landing(spark, f"{where}/in").collect()}
+    assert json.loads(rows["a"]["_other_fields"])["new"] == '{"x":[1,2]}'
+    assert rows["b"]["_other_fields"] is None and rows[None]["_corrupt_record"] == "[1"
+
+
+def test_a_stream_uses_the_saved_schema(spark, where):
+    land(spark, f"{where}/in", ("a", 1.0))
+    first = landing.stream_landing(spark, f"{where}/in", saved_at=f"{where}/schema")
+    spark.createDataFrame([('{"fresh": 1}',)], "value string").write.mode("append").text(f"{where}/in")
+    again = landing.stream_landing(spark, f"{where}/in", saved_at=f"{where}/schema")
+    assert first.columns == again.columns and "fresh" not in again.columns and "amount" in again.columns
+
+
 def test_other_read_failures_are_not_hidden(spark, where):
     def read(path):
         return spark.read.parquet(path).select("no_such_column")

@@ -100,3 +100,18 @@ def layered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir).withColumn(
         "layer", F.when(F.col("event_id") % 4 == 0, "bronze").otherwise("silver")
     )
+
+
+def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows of which some lack an id or a user, come from the future, or use a channel of their own."""
+    n = F.col("event_id")
+    return raw(spark, sf_dir).select(
+        F.when(n % 29 != 0, F.col("transaction_id")).alias("transaction_id"),
+        F.when(n % 37 != 0, F.col("user_id")).alias("user_id"),
+        "amount",
+        F.when(n % 41 == 0, F.lit("kiosk")).otherwise(F.col("channel")).alias("channel"),
+        "city",
+        "device",
+        F.when(n % 43 == 0, F.lit("2999-01-01 00:00:00")).otherwise(F.col("ts")).alias("ts"),
+        "event_id",
+    )

@@ -13,23 +13,25 @@ from silverlane.functions.rules import table_constraints
 from silverlane.governance import audit as access
 from silverlane.governance import catalog, contract, security
 from silverlane.operators import detect, quality
-from silverlane.operators.skew import Share
-from silverlane.operators.upsert import absent_from
+from silverlane.operators.skew import Share, split_by_share
 from silverlane.plans import evaluation, profiles
 from silverlane.plans.gold import gold_alerts as score
 from silverlane.plans.gold import replace_gold
-from silverlane.schema import ALERT, TRANSACTION
+from silverlane.schema import OTHER, TRANSACTION, VALID_CHANNELS
 from silverlane.scratch import run_dir
-from silverlane.sources import commits, landing, tables
-from silverlane.streaming.silver import run_silver
+from silverlane.sources import landing, tables, writes
+from silverlane.streaming.silver import batch_metrics, run_silver
 from workload import inputs as given
 from workload.inputs import MAX_TX, WINDOW_S, Z
 
 ROW = ["transaction_id", "user_id", "amount", "channel", "city", "device", "ts"]
 UTC = dt.timezone.utc
-FIRST_COMMIT = dt.datetime(2024, 2, 1, tzinfo=UTC)
-SECOND_COMMIT = dt.datetime(2024, 3, 1, tzinfo=UTC)
-BETWEEN_COMMITS = dt.datetime(2024, 2, 15, tzinfo=UTC)
+FIRST_LOAD, SECOND_LOAD = "load-0", "load-1"
+LOADED_AT = {
+    FIRST_LOAD: dt.datetime(2024, 2, 1, tzinfo=UTC),
+    SECOND_LOAD: dt.datetime(2024, 3, 1, tzinfo=UTC),
+}
+BETWEEN_LOADS = dt.datetime(2024, 2, 15, tzinfo=UTC)
 
 
 def _share(spark: SparkSession, sf: str) -> Share:
@@ -43,37 +45,37 @@ def _low_share(spark: SparkSession, sf: str) -> Share:
 
 
 CONTRACT = contract.Contract(
-    product_id="payments.transactions.v1",
-    domain="payments",
-    owner_team="payments-team",
-    owner_email="payments-data@example.com",
-    sla_freshness="1h",
-    sla_availability="99.5%",
-    quality_tests="payments_suite_v1",
-    classification="CONFIDENTIAL",
-    pii_columns="user_id,device",
-    regulatory="anti-money-laundering,data-protection",
-    retention_days="1825",
-    version="1.0.0",
-    status="PRODUCTION",
+    product_id="ledger-entries",
+    domain="ledger",
+    owner_team="bookkeeping",
+    owner_email="bookkeeping@example.org",
+    sla_freshness="one hour",
+    sla_availability="99 of 100 reads",
+    quality_tests="silver_refusals",
+    classification="internal",
+    pii_columns="device",
+    regulatory="none",
+    retention_days="400",
+    version="3",
+    status="in use",
 )
 DOMAINS = {
-    "payments": "Transactions, owned by the payments team",
-    "risk": "Fraud models and alerts, owned by the risk team",
-    "customers": "User profiles and segments, owned by the product team",
-    "channels": "App, agents, QR and API, owned by the channels team",
+    "ledger": "What was booked, and when",
+    "watch": "What looks unusual in the books",
+    "people": "Who may read what",
+    "outlets": "Where bookings come from",
 }
 COLUMN_NOTES = {
-    "transaction_id": "Unique id of the transaction, primary key",
-    "user_id": "User, personal data: mask outside production",
-    "amount": "Amount of the transaction, always above zero",
-    "channel": "app, qr, agent or api, checked at ingest",
-    "city": "City the transaction came from",
-    "device": "Device, personal data: mask outside production",
-    "ts": "Time of the transaction, never in the future",
-    "layer": "bronze, silver or gold",
+    "transaction_id": "Names one booking; no two rows share it",
+    "user_id": "Who booked",
+    "amount": "Positive, in the currency of the account",
+    "channel": "The kind of outlet, from a closed list",
+    "city": "Where the outlet stands",
+    "device": "Shown to privileged readers only",
+    "ts": "When it was booked",
+    "layer": "How far the row has come",
 }
-TABLE_NOTE = "Normalised and validated transactions"
+TABLE_NOTE = "Bookings that passed all checks"
 
 
 def _second_load() -> Column:
@@ -88,11 +90,11 @@ def _shown(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times}) if times else df
 
 
-def _committed(spark: SparkSession, name: str, like: DataFrame) -> commits.CommittedTable:
-    """An empty table with a history and the columns of `like`, the layer last."""
+def _written(spark: SparkSession, name: str, like: DataFrame) -> writes.WrittenTable:
+    """An empty table with the columns of `like`, the layer last."""
     columns = [c for c in like.columns if c != "layer"]
     schema = like.select(*columns, "layer").schema
-    return commits.CommittedTable(spark, run_dir(spark, name), schema)
+    return writes.WrittenTable(spark, run_dir(spark, name), schema)
 
 
 # -- quality -----------------------------------------------------------------------------
@@ -248,40 +250,46 @@ def gold_alerts_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_alerts_rerun(spark: SparkSession, sf: str) -> DataFrame:
-    """Gold replaced by a run with other thresholds; the first run stays as version 0."""
-    silver = given.silver(spark, sf).drop("event_id")
-    gold = _committed(spark, "gold", _gold(spark, sf).select(GOLD))
-    share = _share(spark, sf)
-    replace_gold(gold, silver, "run-1", share=share)
+    """Gold replaced by a run with other thresholds."""
+    silver, share, path = given.silver(spark, sf).drop("event_id"), _share(spark, sf), run_dir(spark, "gold")
+    replace_gold(path, silver, share=share)
     thresholds = {"z_threshold": "2.5", "window_s": str(WINDOW_S), "max_tx": "4"}
-    replace_gold(gold, silver, "run-2", thresholds, share)
-    return _shown(gold.read(), GOLD)
+    replace_gold(path, silver, thresholds, share)
+    return _shown(spark.read.parquet(path), GOLD)
 
 
 def gold_from_landed_files(spark: SparkSession, sf: str) -> DataFrame:
     """The whole way: JSON files, stream, stored Silver, stored Gold."""
     silver = _streamed(spark, sf).read().where(F.col("layer") == "silver")
-    gold = commits.CommittedTable(spark, run_dir(spark, "gold"), ALERT)
-    replace_gold(gold, silver, "run-1", {"window_s": str(WINDOW_S)})
-    return _shown(gold.read(), GOLD)
+    path = run_dir(spark, "gold")
+    replace_gold(path, silver, {"window_s": str(WINDOW_S)})
+    return _shown(spark.read.parquet(path), GOLD)
 
 
 def gold_table(spark: SparkSession, sf: str) -> DataFrame:
     """Gold overwritten as a table partitioned by layer, and read back."""
-    name, path = _table(spark, "risk", "alerts")
+    name, path = _table(spark, "watch", "alerts")
     tables.overwrite_table(_gold(spark, sf), name, path)
     return _shown(tables.layer_scan(spark, name, "gold"), GOLD)
 
 
-def fraud_labels(spark: SparkSession, sf: str) -> DataFrame:
-    share = _share(spark, sf)
+def _labels(spark: SparkSession, sf: str, share: Share) -> DataFrame:
+    """Three detectors in a chain over one split."""
+    split = split_by_share(given.silver(spark, sf), ["user_id"], share)
     judged = (
-        given.silver(spark, sf)
-        .transform(detect.zscore_alerts, threshold=Z, share=share)
+        split.transform(detect.zscore_alerts, threshold=Z)
         .transform(detect.frequency_alerts, window_s=WINDOW_S, max_tx=MAX_TX, share=share)
-        .transform(detect.label_confirmed, share=share)
+        .transform(detect.label_confirmed)
     )
-    return judged.select("transaction_id", "user_id", "is_fraud")
+    return judged.rows().select("transaction_id", "user_id", "is_fraud")
+
+
+def fraud_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return _labels(spark, sf, _share(spark, sf))
+
+
+def fraud_labels_split(spark: SparkSession, sf: str) -> DataFrame:
+    return _labels(spark, sf, _low_share(spark, sf))
 
 
 def confirmed_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -345,17 +353,35 @@ def activity_by_hour(spark: SparkSession, sf: str) -> DataFrame:
 
 def silver_insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
     """The first weeks, then everything with other amounts, twice: the first writer wins."""
-    silver = given.silver(spark, sf).drop("event_id")
+    path = run_dir(spark, "cleaned")
+    given.silver(spark, sf).select(*ROW, "layer").write.parquet(path)  # cleaned once for all three loads
+    silver = spark.read.parquet(path)
     early = silver.where(F.col("ts") < _second_load())
     late = silver.withColumn("amount", F.col("amount") + 1000)
-    table = _committed(spark, "silver", early.select(*ROW, "layer"))
-    table.write(absent_from(early, table.read()), "load-1", "MERGE")
-    for key in ("load-2", "load-2-again"):
-        new = absent_from(late, table.read(), n_source=late.count())
-        table.write(new, key, "MERGE")
+    table = _written(spark, "silver", early)
+    for load, rows in (("load-1", early), ("load-2", late), ("load-2-again", late)):
+        table.insert_absent(rows, load)
     return _shown(table.read(), ROW)
 
 
+def silver_stream_constraints(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without id or user, from the future or of a foreign channel never reach Silver, in any batch."""
+    rows, source, root = given.dirty(spark, sf), run_dir(spark, "landing"), run_dir(spark, "stream")
+    channels = (*VALID_CHANNELS, "kiosk")
+    checks = table_constraints(channels=channels)
+    table = writes.WrittenTable(spark, f"{root}/silver", TRANSACTION, checks)
+    for part in (rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1")):
+        landing.land(part.drop("event_id"), source)
+        run_silver(landing.stream_landing(spark, source), table, f"{root}/checkpoint", channels)
+    return _shown(table.read(), [*ROW, "layer"])
+
+
+def quality_reject_reasons_dirty(spark: SparkSession, sf: str) -> DataFrame:
+    """Every reason for refusing a row."""
+    latest = F.lit("2024-12-31 00:00:00").cast("timestamp")
+    return quality.reject_reasons(given.dirty(spark, sf).drop("event_id"), as_of=latest)
+
+
 def _landed(spark: SparkSession, sf: str) -> str:
     path = run_dir(spark, "landing")
     landing.land(given.bronze(spark, sf), path)
@@ -364,7 +390,7 @@ def _landed(spark: SparkSession, sf: str) -> str:
 
 def bronze_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """Landed JSON read in batch, kept as a table with its lineage, and read back."""
-    name, path = _table(spark, "payments", "bronze_snapshot")
+    name, path = _table(spark, "ledger", "bronze_snapshot")
     tables.overwrite_table(landing.read_landing(spark, _landed(spark, sf)), name, path)
     return _shown(
         tables.layer_scan(spark, name, "bronze")
@@ -374,11 +400,12 @@ def bronze_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _streamed(spark: SparkSession, sf: str) -> commits.CommittedTable:
+def _streamed(spark: SparkSession, sf: str) -> writes.WrittenTable:
     source, root = _landed(spark, sf), run_dir(spark, "stream")
-    table = commits.CommittedTable(spark, f"{root}/silver", TRANSACTION)
+    table = writes.WrittenTable(spark, f"{root}/silver", TRANSACTION, table_constraints())
     for _ in range(2):  # the second run finds nothing new
-        run_silver(landing.stream_landing(spark, source), table, f"{root}/checkpoint")
+        stream = landing.stream_landing(spark, source, saved_at=f"{root}/schema")
+        run_silver(stream, table, f"{root}/checkpoint")
     return table
 
 
@@ -386,24 +413,42 @@ def bronze_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(_streamed(spark, sf).read(), [*ROW, "layer", "is_fraud"])
 
 
+def bronze_unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed rows with fields the schema does not have, which are kept as text."""
+    path = run_dir(spark, "landing")
+    rows = given.raw(spark, sf).withColumn("coupon", F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("c"), "event_id")))
+    landing.land(rows.withColumnRenamed("event_id", "event"), path)
+    found = landing.read_landing(spark, path)
+    coupon, event = (F.get_json_object(OTHER, f"$.{name}") for name in ("coupon", "event"))
+    return found.select("transaction_id", "amount", coupon.alias("coupon"), event.cast("long").alias("event"))
+
+
 def stream_batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Totals over the micro-batches; how many there were depends on the files."""
-    return commits.batch_metrics(_streamed(spark, sf)).agg(
-        F.sum("n_raw").alias("n_raw"), F.sum("n_inserted").alias("n_inserted")
-    )
+    sums = [F.sum(c).alias(c) for c in ("n_raw", "n_valid", "n_rejected", "n_inserted")]
+    return batch_metrics(_streamed(spark, sf)).agg(*sums)
 
 
 def silver_scan(spark: SparkSession, sf: str) -> DataFrame:
-    name, path = _table(spark, "payments", "transactions")
+    name, path = _table(spark, "ledger", "transactions")
     tables.overwrite_table(given.layered(spark, sf).drop("event_id"), name, path)
     return _shown(tables.layer_scan(spark, name, "silver"), ROW)
 
 
-# -- history -----------------------------------------------------------------------------
+def table_append(spark: SparkSession, sf: str) -> DataFrame:
+    """A table overwritten with one layer, to which the other is appended."""
+    name, path = _table(spark, "ledger", "transactions")
+    rows = given.layered(spark, sf).drop("event_id")
+    tables.overwrite_table(rows.where("layer = 'bronze'"), name, path)
+    tables.append_table(rows.where("layer = 'silver'"), name)
+    return _shown(spark.table(name), [*ROW, "layer"])
+
+
+# -- writes ------------------------------------------------------------------------------
 
 
-def _versions(spark: SparkSession, sf: str) -> commits.CommittedTable:
-    """The first weeks as version 0, the rest appended as version 1."""
+def _loads(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of two writes: the first weeks, and the rest."""
     rows = given.events(spark, sf).select(
         F.concat(F.lit("tx_"), F.col("event_id")).alias("transaction_id"),
         F.concat(F.lit("u_"), F.col("user_id")).alias("user_id"),
@@ -414,30 +459,30 @@ def _versions(spark: SparkSession, sf: str) -> commits.CommittedTable:
         F.col("ts").cast("timestamp").alias("processed_at"),
         F.lit("silver").alias("layer"),
     )
-    table = _committed(spark, "history", rows)
-    early, late = rows.where(F.col("ts") < _second_load()), rows.where(F.col("ts") >= _second_load())
-    table.write(early, "load-0", "WRITE", committed_at=FIRST_COMMIT)
-    table.write(late, "load-1", "APPEND", committed_at=SECOND_COMMIT)
-    return table
+    table = _written(spark, "loads", rows)
+    table.write(rows.where(F.col("ts") < _second_load()), FIRST_LOAD)
+    table.write(rows.where(F.col("ts") >= _second_load()), SECOND_LOAD)
+    return table.read()
 
 
 def snapshot_compare(spark: SparkSession, sf: str) -> DataFrame:
-    return commits.compare_versions(
-        _versions(spark, sf), {"version 0": 0, "version 1": 1, "current": None}
-    )
+    moments = {"version 0": [FIRST_LOAD], "version 1": [FIRST_LOAD, SECOND_LOAD], "current": None}
+    return writes.compare_writes(_loads(spark, sf), moments)
 
 
 def snapshot_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return _shown(commits.audit_sample(_versions(spark, sf), version=0, n=5))
+    return _shown(writes.audit_sample(_loads(spark, sf), [FIRST_LOAD], n=5))
 
 
 def snapshot_asof_time(spark: SparkSession, sf: str) -> DataFrame:
-    seen = _versions(spark, sf).read(as_of=BETWEEN_COMMITS)
-    return _shown(seen, ["transaction_id", "user_id", "amount", "channel", "ts"])
+    """The rows of all writes up to a time."""
+    seen = [load for load, at in LOADED_AT.items() if at <= BETWEEN_LOADS]
+    rows = _loads(spark, sf).where(F.col(writes.WRITE_ID).isin(*seen))
+    return _shown(rows, ["transaction_id", "user_id", "amount", "channel", "ts"])
 
 
 def write_history(spark: SparkSession, sf: str) -> DataFrame:
-    return _versions(spark, sf).history().select("commit_id", "generation", "operation", "n_rows")
+    return writes.history(_loads(spark, sf))
 
 
 # -- governance --------------------------------------------------------------------------
@@ -459,7 +504,7 @@ def _table(spark: SparkSession, domain: str, table: str) -> tuple[str, str]:
 def _product(spark: SparkSession, sf: str) -> tuple[dict[str, str], str]:
     """The transactions product: typed table, filled with Silver, contract and notes."""
     names = _domains(spark)
-    table = f"{names['payments']}.transactions"
+    table = f"{names['ledger']}.transactions"
     rows = given.layered(spark, sf).select(*ROW, "is_fraud", "processed_at", "layer")
     catalog.create_table(spark, table, rows.schema, column_comments=COLUMN_NOTES)
     quality.enforce(rows).write.mode("append").insertInto(table)
@@ -475,29 +520,13 @@ def contract_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def column_documentation(spark: SparkSession, sf: str) -> DataFrame:
-    """The column notes, and how many distinct values each documented text column holds."""
+    """The note of each column, and how many distinct values its rows hold (0 for the time of the run)."""
     _, table = _product(spark, sf)
-    texts = ["channel", "city", "device"]
-    counted = spark.table(table).agg(*[F.count_distinct(c).alias(c) for c in texts])
-    values = counted.unpivot([], texts, "column", "n_values")
-    return contract.column_documentation(spark, table).join(values, "column")
-
-
-def discover_products(spark: SparkSession, sf: str) -> DataFrame:
-    """Tables and views of the domains with their description; times are left out."""
-    names, table = _product(spark, sf)
-    members = f"{names['risk']}.members"
-    given.members(spark).write.saveAsTable(members)
-    security.create_secured_view(
-        spark, f"{names['risk']}.v_transactions", table, members, comment="Masked transactions"
-    )
-    found = catalog.discover_products(spark, list(names.values()))
-    return found.select(
-        F.regexp_replace("domain", "_[0-9a-f]{12}$", "").alias("domain"),
-        "data_product",
-        "table_type",
-        F.coalesce("description", F.lit("")).alias("description"),
-    ).orderBy("domain", "data_product")
+    shown = spark.table(table).drop("processed_at")
+    counted = shown.agg(*[F.count_distinct(c).alias(c) for c in shown.columns])
+    values = counted.unpivot([], shown.columns, "column", "n_values")
+    noted = contract.column_documentation(spark, table).join(values, "column", "left")
+    return noted.withColumn("n_values", F.coalesce("n_values", F.lit(0)))
 
 
 def environment_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -514,13 +543,35 @@ def environment_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def table_detail(spark: SparkSession, sf: str) -> DataFrame:
-    name, path = _table(spark, "payments", "transactions")
+    """Whether each layer has files with bytes in them, and the rows they hold."""
+    name, path = _table(spark, "ledger", "transactions")
     tables.overwrite_table(given.layered(spark, sf).drop("event_id"), name, path)
-    return tables.physical_detail(spark, path).select("layer", "n_files", "total_bytes")
+    rows = spark.table(name).groupBy("layer").agg(F.count(F.lit(1)).alias("n_rows"))
+    detail = tables.physical_detail(spark, path)
+    filled = (F.col("n_files") > 0) & (F.col("total_bytes") > 0)
+    return detail.join(rows, "layer").select("layer", filled.alias("has_files"), "n_rows")
 
 
 def landing_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    return landing.inventory(spark, _landed(spark, sf)).select("name", "size_kb")
+    """Whether the listed files have names, sizes and times, and the rows they hold."""
+    path = _landed(spark, sf)
+    listed = landing.inventory(spark, path).agg(
+        (F.count(F.lit(1)) > 0).alias("has_files"),
+        F.every((F.col("size_kb") >= 0) & F.col("name").endswith(".json") & F.col("modified_at").isNotNull()).alias("complete"),
+    )
+    n_rows = landing.read_landing(spark, path).agg(F.count(F.lit(1))).scalar()
+    return listed.withColumn("n_rows", n_rows)
+
+
+def inventory_total(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the totals are those of the listed files, and the rows they hold."""
+    path = _landed(spark, sf)
+    files = landing.inventory(spark, path)
+    total = landing.inventory_total(files)
+    sizes = files.agg(F.sum("size_kb")).scalar()
+    n_rows = landing.read_landing(spark, path).agg(F.count(F.lit(1))).scalar()
+    right = (F.col("n_files") > 0) & (F.abs(F.col("total_kb") - sizes) < 1e-6)
+    return total.select(right.alias("adds_up"), n_rows.alias("n_rows"))
 
 
 def schema_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -544,8 +595,12 @@ def secured_view_compliance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def secured_view_check(spark: SparkSession, sf: str) -> DataFrame:
+    """What three users see of one stored product."""
+    name, path = _table(spark, "ledger", "transactions")
+    tables.overwrite_table(given.layered(spark, sf).drop("event_id"), name, path)
+    stored, members = spark.table(name), given.members(spark)
     seen = [
-        security.check_masking(_secured(spark, sf, user), user)
+        security.check_masking(security.secured(stored, members, user=user), user)
         for user in ("analyst", "auditor", "root")
     ]
     return seen[0].unionByName(seen[1]).unionByName(seen[2])
@@ -554,10 +609,10 @@ def secured_view_check(spark: SparkSession, sf: str) -> DataFrame:
 def secured_view_current_user(spark: SparkSession, sf: str) -> DataFrame:
     """A permanent view, read by a user who is in a group without privilege."""
     names, table = _product(spark, sf)
-    members = f"{names['risk']}.members"
+    members = f"{names['people']}.members"
     me = spark.range(1).select(F.current_user().alias("user_name"), F.lit("risk").alias("grp"))
     me.write.saveAsTable(members)
-    view = f"{names['risk']}.v_transactions"
+    view = f"{names['people']}.v_transactions"
     security.create_secured_view(spark, view, table, members)
     return _shown(spark.table(view), SECURED)
 
@@ -593,6 +648,7 @@ ALL = (
     gold_from_landed_files,
     gold_table,
     fraud_labels,
+    fraud_labels_split,
     confirmed_users,
     fraud_share,
     detector_metrics,
@@ -605,20 +661,24 @@ ALL = (
     profile_by_city,
     activity_by_hour,
     silver_insert_if_absent,
+    silver_stream_constraints,
+    quality_reject_reasons_dirty,
     bronze_snapshot,
     bronze_stream_ingest,
+    bronze_unknown_fields,
     stream_batch_metrics,
     silver_scan,
+    table_append,
     snapshot_compare,
     snapshot_sample,
     snapshot_asof_time,
     write_history,
     contract_table,
     column_documentation,
-    discover_products,
     environment_check,
     table_detail,
     landing_inventory,
+    inventory_total,
     schema_report,
     secured_view_analyst,
     secured_view_compliance,
