@@ -336,8 +336,10 @@ def labelled(page: str) -> str | None:
 
 def fit(pages: DataFrame, html: str = "html", seed: int = 7) -> Model:
     """A model trained on at most SAMPLE of the given pages that label themselves, and on the filled layouts."""
-    rows = pick(pages, html=html).where(F.length("html") <= SAMPLE_CHARS)
-    some = rows.orderBy(F.xxhash64("html"), "html").limit(SAMPLE).collect()
+    rows = pick(pages, html=html).where(F.length("html") <= SAMPLE_CHARS).withColumn("hash", F.xxhash64("html"))
+    first = rows.select("hash").distinct().orderBy("hash").limit(SAMPLE)  # hashes travel, not pages
+    last = first.agg(F.max("hash")).first()[0]
+    some = rows.where(F.col("hash") <= F.lit(last)).groupBy("hash").agg(F.min("html").alias("html")).orderBy("hash").collect()
     own = [page for row in some if (page := labelled(row["html"]))]
     lines = []
     for nodes in map(parse, own):
