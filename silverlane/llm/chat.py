@@ -16,6 +16,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -77,12 +78,10 @@ def covered(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]])
         if start == end or low >= high:
             continue
         mask[low:high] = True
-        before = len(parts)
-        for a, b in zip(np.maximum(starts[low:high], start).tolist(), np.minimum(ends[low:high], end).tolist()):
-            if len(parts) > before and a <= parts[-1][1]:
-                parts[-1] = (parts[-1][0], max(parts[-1][1], b))
-            else:
-                parts.append((a, b))
+        begin, until = np.maximum(starts[low:high], start), np.minimum(ends[low:high], end)
+        reached = np.maximum.accumulate(until)  # several tokens may share a character
+        new = np.flatnonzero(np.concatenate([[True], begin[1:] > reached[:-1]]))
+        parts += zip(begin[new].tolist(), reached[np.append(new[1:], len(reached)) - 1].tolist())
     return mask, parts
 
 
@@ -134,9 +133,9 @@ def format_conversations(
             nonlocal size, place
             whole = "".join(texts)
             coded = encoder.encode(whole, add_special_tokens=False)
-            offsets = np.array(coded.offsets, np.int64).reshape(-1, 2)
-            mask, parts = covered(offsets[:, 0], offsets[:, 1], spans)
-            out.append((current, place, whole, coded.ids, mask.tolist(), parts))
+            flat = np.fromiter(chain.from_iterable(coded.offsets), np.int64)
+            mask, parts = covered(flat[0::2], flat[1::2], spans)
+            out.append((current, place, whole, np.array(coded.ids, np.int32), mask, parts))
             texts.clear()
             spans.clear()
             size, place = 0, place + 1
@@ -201,8 +200,14 @@ def read_back(segments: DataFrame, template: Template = Template()) -> DataFrame
             return pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
         for batch in batches:
-            for conv, formatted, mask, spans in zip(*(batch.column(c) for c in ("conv_id", "formatted", "loss_mask", "loss_spans"))):
-                conv, formatted, mask = conv.as_py(), formatted.as_py(), mask.as_py()
+            masks = batch.column("loss_mask")
+            sizes = masks.value_lengths().to_numpy()
+            kept = np.concatenate([[0], np.cumsum(masks.flatten().to_numpy(zero_copy_only=False))])
+            ends = np.cumsum(sizes)
+            learned = kept[ends] - kept[ends - sizes]
+            rows = zip(*(batch.column(c) for c in ("conv_id", "formatted", "loss_spans")), sizes.tolist(), learned.tolist())
+            for conv, formatted, spans, n_tokens, n_learned in rows:
+                conv, formatted = conv.as_py(), formatted.as_py()
                 if state is not None and conv != current:
                     close()
                     state = None
@@ -216,8 +221,8 @@ def read_back(segments: DataFrame, template: Template = Template()) -> DataFrame
                     state[2] += len(text)
                     state[3].update(text.encode())
                 state[4] += len(formatted)
-                state[5] += len(mask)
-                state[6] += sum(mask)
+                state[5] += n_tokens
+                state[6] += n_learned
                 if len(done) >= 5000:
                     yield flush()
         if state is not None:
