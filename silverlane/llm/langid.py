@@ -35,13 +35,20 @@ ROUNDS = 8
 PENALTY = 2.0
 #: Words of documents that are worked on together.
 BLOCK_WORDS = 400_000
-#: Letters without case, digits or signs.
+#: Runs of letters: word characters but decimal digits, which in rare texts have other numerals among them.
 WORD = re.compile(r"[^\W\d_]+")
+NUMERALS = [c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()]
+SUSPECT = re.compile("[" + "".join(c for c in NUMERALS if ord(c) < 0x10000) + "\U00010000-\U0010ffff]")
+BLANKED = dict.fromkeys(map(ord, NUMERALS), " ")
 
 
 def words(text: str | None) -> list[str]:
     """Runs of letters, in lower case."""
-    return WORD.findall(text.lower()) if text else []
+    if not text:
+        return []
+    if not text.isascii() and SUSPECT.search(text):
+        text = text.translate(BLANKED)
+    return WORD.findall(text.lower())
 
 
 def grams(spelled: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -47,6 +47,7 @@ def test_languages_and_mixtures(documents, model, odd_texts):
     assert by[1, "aa"].languages == ["aa", "bb"] and 0.6 < by[1, "aa"].score < 0.8
     assert by[2, "cc"].score == 1 and by[2, "und"].score == by[None, "und"].score == 0
 
+    odd_texts = [*odd_texts, "½ ² Ⅷ", "½a"]
     odd = documents([(k, t) for k, t in enumerate(odd_texts)])
     found = {r.doc_id: r.lang_pred for r in langid.predict(odd, model).collect()}
     has_letters = {k for k, t in enumerate(odd_texts) if t and any(c.isalpha() for c in t)}
