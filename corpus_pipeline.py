@@ -34,11 +34,9 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_chars, n_tokens, ids); a document whose ids do not decode to its text is dropped."""
     rows = pick(docs, doc_id="doc_id", text="text", lang="lang", source="source", n_chars="n_chars")
-    text = F.coalesce("text", F.lit(""))
-    kept = F.struct("doc_id", "lang", "source", "n_chars", F.sha2(text, 256).alias("digest")).alias("doc")
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.decode(bpe.encode(rows.select(kept, "text"), path, doc_id="doc"), path)
-    same = coded.where(F.sha2("decoded", 256) == F.col("doc_id.digest"))
+    kept = F.struct("doc_id", "lang", "source", "n_chars").alias("doc")
+    coded = bpe.encode_checked(rows.select(kept, "text"), public_tokenizers.path("byte_bpe_50k.json"), doc_id="doc")
+    same = coded.where("exact")
     return same.select("doc_id.doc_id", "doc_id.lang", "doc_id.source", "doc_id.n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

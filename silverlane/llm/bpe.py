@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from silverlane.llm.store import pick
 
 #: Characters of text that are indexed together, and pre-tokens a task remembers between blocks.
-BLOCK_CHARS = 8_000_000
-REMEMBERED = 400_000
+BLOCK_CHARS = 3_000_000
+REMEMBERED = 250_000
 #: Runs that are copied at once.
 STEP = 200_000
 
@@ -260,6 +260,28 @@ def decode(encoded: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "id
     return rows.mapInArrow(run, schema)
 
 
+def encode_checked(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, ids, exact) for each row: the ids as of `encode`, and whether decoding them gives the text again."""
+    rows = pick(docs, doc_id=doc_id, text=text)
+    ids_type = T.ArrayType(T.IntegerType(), False)
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("ids", ids_type), T.StructField("exact", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(path)
+        for batch in batches:
+            done = 0
+            for block in blocks(t.as_py() for t in batch.column("text")):
+                ids, sizes = codec.encode(block)
+                cuts = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+                exact = pa.array([(a or "") == b for a, b in zip(block, codec.decode(ids, sizes))])
+                keys = batch.column("doc_id").slice(done, len(block))
+                done += len(block)
+                listed = pa.ListArray.from_arrays(cuts, pa.array(ids))
+                yield pa.RecordBatch.from_arrays([keys, listed, exact], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def digests(coded: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, ids, decoded)."""
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")

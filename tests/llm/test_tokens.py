@@ -105,6 +105,9 @@ def test_bpe_over_a_table(documents, odd_texts, byte_bpe, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK_CHARS", 1000)
     got = bpe.digests(bpe.decode(bpe.encode(docs, byte_bpe), byte_bpe)).collect()
     assert sorted((str(r[0]), *r[1:]) for r in got) == sorted(wanted)
+    checked = bpe.encode_checked(docs, byte_bpe).collect()
+    assert all(r.exact for r in checked)
+    assert sorted((str(r.doc_id), len(r.ids)) for r in checked) == sorted(w[:2] for w in wanted)
     assert bpe.digests(bpe.decode(bpe.encode(documents([]), byte_bpe), byte_bpe)).collect() == []
 
 
