@@ -10,7 +10,8 @@ Whether there are frequent keys is asked of the data before the plan is built, b
 an aggregate with map-side combine that reads the key columns alone. Without any, the plan is
 the plain one. Where the input is a long chain, `count_in` names a cheaper table to ask, such
 as the rows before copies were removed: both ways give the same result for any key, so the
-shares need not be those of the input itself.
+shares need not be those of the input itself. A key that is frequent in the input only counts as
+ordinary then, which costs time and not rows, so name a table that has at least the input's rows.
 """
 
 from __future__ import annotations
