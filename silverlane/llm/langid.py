@@ -24,6 +24,7 @@ from silverlane.llm.store import pick, stored
 UNKNOWN = "und"
 #: Labelled documents of each language that the model is fitted on, at most.
 SAMPLE = 1000
+PARTS = 16
 #: Orders of the character n-grams; n-grams and their contexts are counted in buckets, of which there are so many.
 ORDER = 3
 BUCKETS = 1 << 18
@@ -152,8 +153,12 @@ def sample(docs: DataFrame, training: Column, most: int = SAMPLE) -> DataFrame:
 
     known = docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
     hashed = known.select("lang", "text", F.xxhash64("text").alias("hash"))
-    order = Window.partitionBy("lang").orderBy("hash")
-    cut = hashed.select("lang", "hash").withColumn("k", F.row_number().over(order)).where(F.col("k") <= most)
+    # First among parts of a language, so that what meets in the end does not grow with the corpus.
+    part = F.pmod("hash", F.lit(PARTS))
+    cut = hashed.select("lang", "hash")
+    for keys in (["lang", part], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("hash"))
+        cut = cut.withColumn("k", place).where(F.col("k") <= most).drop("k")
     chosen = cut.select("lang", "hash").distinct()  # at most `most` short rows for each language
     return hashed.join(F.broadcast(chosen), ["lang", "hash"]).dropDuplicates(["lang", "hash"]).select("lang", "text")
 
