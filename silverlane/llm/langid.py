@@ -148,18 +148,18 @@ def select(log_p: np.ndarray, times: np.ndarray, starts: np.ndarray) -> np.ndarr
 
 
 def sample(docs: DataFrame, training: Column, most: int = SAMPLE) -> DataFrame:
-    """(lang, text) of at most `most` training documents of each language, by a hash of the text."""
+    """(lang, text) of at most `most` different training texts of each language, by a hash of the text."""
     from pyspark.sql.window import Window
 
     known = docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
     hashed = known.select("lang", "text", F.xxhash64("text").alias("hash"))
-    # First among parts of a language, so that what meets in the end does not grow with the corpus.
+    # Copies count once. First among parts of a language, so that what meets in the end does not grow with the corpus.
     part = F.pmod("hash", F.lit(PARTS))
-    cut = hashed.select("lang", "hash")
+    chosen = hashed.select("lang", "hash").distinct()
     for keys in (["lang", part], ["lang"]):
         place = F.row_number().over(Window.partitionBy(*keys).orderBy("hash"))
-        cut = cut.withColumn("k", place).where(F.col("k") <= most).drop("k")
-    chosen = cut.select("lang", "hash").distinct()  # at most `most` short rows for each language
+        chosen = chosen.withColumn("k", place).where(F.col("k") <= most).drop("k")
+    # A broadcast of at most `most` short rows for each language.
     return hashed.join(F.broadcast(chosen), ["lang", "hash"]).dropDuplicates(["lang", "hash"]).select("lang", "text")
 
 

@@ -77,6 +77,17 @@ def test_no_labels_no_prediction(documents):
     assert langid.predict(documents([(1, "text")]), empty).first().lang_pred == "und"
 
 
+def test_copies_take_no_places_in_the_sample(documents):
+    texts = [f"text {k}" for k in range(90)]
+    rows = [(k, t, "aa") for k, t in enumerate(texts)] + [(k, t, "bb") for k in range(120) for t in texts[:3]]
+    got = sorted(tuple(r) for r in langid.sample(documents(rows), F.lit(True), 100).collect())
+    assert got == sorted([("aa", t) for t in texts] + [("bb", t) for t in texts[:3]])
+    copies = documents([(k, t, "aa") for k, t in enumerate(texts + [texts[k] for k in (1, 2, 3)] * 150)])
+    assert sorted(r.text for r in langid.sample(copies, F.lit(True), 100).collect()) == sorted(texts)
+    few = [r.text for r in langid.sample(copies, F.lit(True), 40).collect()]
+    assert len(few) == 40 and set(few) < set(texts)
+
+
 def test_html_parsing():
     page = "<div class='A-b'>one<br>t&amp;wo <b>three<p>four <i>five</b> six<li>x<li>y</div><script>'</p>'</script>a < b<!-- c --> d<a href='cut"
     nodes = html_text.parse(page)
