@@ -253,6 +253,13 @@ def contract(edges: DataFrame) -> DataFrame:
         edges = stored(lowest.select("a", F.col("m").alias("b")).union(small).distinct(), "links")
 
 
+def _linked(rows: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, least): each fingerprint's smallest doc_id; (fp, root): the smallest one connected with each that has links."""
+    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    roots = contract(links_within(distinct, distance))
+    return distinct, roots.union(roots.select("b", "b").distinct()).toDF("fp", "root")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 4, distance: int = 4, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -263,9 +270,7 @@ def near_duplicates(
     Other columns are not looked at.
     """
     rows = stored(fingerprints(docs, shingle, doc_id, text), "fingerprints")
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = contract(links_within(distinct, distance))
-    linked = roots.union(roots.select("b", "b").distinct()).toDF("fp", "root")
+    distinct, linked = _linked(rows, distance)
     known = linked.join(distinct, "fp")
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))
     components = known.join(least, "root").select("fp", "component_id")
@@ -273,17 +278,25 @@ def near_duplicates(
     return rows.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """The rows of `docs` with one document of each group of near-duplicates: that of the smallest id.
 
-    Of rows that repeat that id one stays. Rows without an id are no part of any group and stay.
+    Of a group's rows that repeat that id one stays: that of the smallest fingerprint (as a long), then text, then
+    other columns as JSON. An id that is the smallest of several groups stays in each of them.
+    Rows without an id are no part of any group and stay.
     """
     names, rows = docs.columns, docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
-    key = f"_{names.index('doc_id')}"
-    repeated = rows.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key)
-    found = near_duplicates(rows.where(F.col(key).isNotNull()), doc_id=key, text=f"_{names.index('text')}", **options)
-    chosen = rows.join(found.select(F.col("component_id").alias(key)).distinct(), key, "left_semi")
-    once = chosen.join(repeated, key, "left_anti")
-    more = chosen.join(repeated, key, "left_semi").dropDuplicates([key])
-    every = sorted(rows.columns, key=lambda c: int(c[1:]))
-    return once.select(every).union(more.select(every)).union(rows.where(F.col(key).isNull())).toDF(*names)
+    every, key, text = rows.columns, f"_{names.index('doc_id')}", f"_{names.index('text')}"
+    known = rows.where(F.col(key).isNotNull())
+    repeated = known.groupBy(key).count().where("count > 1").select(key)
+    distinct, linked = _linked(stored(fingerprints(known, shingle, key, text), "fingerprints"), distance)
+    least = F.min(F.struct(F.col("least").alias(key), "fp")).alias("c")
+    grouped = distinct.join(linked, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
+    chosen = stored(grouped.agg(least).select("c.*"), "chosen")
+    once = rows.join(chosen, key, "left_semi").join(repeated, key, "left_anti")
+    again = known.join(repeated, key, "left_semi").select(F.struct(*every).alias("row"), F.col(text).alias("text"))
+    printed = fingerprints(again, shingle, doc_id="row").withColumnRenamed("doc_id", "row")
+    more = printed.withColumn(key, F.col("row")[key]).join(chosen, [key, "fp"], "left_semi")
+    first = F.min_by("row", F.struct(F.col("row")[text], F.to_json("row"))).alias("row")
+    one = more.groupBy(key, "fp").agg(first).select("row.*")
+    return once.select(every).union(one.select(every)).union(rows.where(F.col(key).isNull())).toDF(*names)

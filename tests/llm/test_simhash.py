@@ -116,3 +116,14 @@ def test_one_of_each_keeps_the_smallest_id(documents):
     got = simhash.one_of_each(clash)
     assert got.columns == clash.columns
     assert sorted(str(r[0]) for r in got.collect()) == ["3", "5", "8", "None"]
+
+
+def test_one_of_each_with_an_id_of_several_texts(documents):
+    a = "the quick brown fox jumps over the lazy dog and runs far away into the deep dark wood " * 4
+    b = "a wholly different text on how to bake bread with flour and water and salt at home " * 4
+    docs = documents([(5, a), (5, b), (3, b)]).withColumn("more", F.create_map("doc_id", "source"))
+    assert sorted((r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()) == [(3, b), (5, a)]
+    copies = [(5, a, "en"), (5, b, "en"), (5, b, "de"), (5, a.upper(), "en"), (7, b, "en")]
+    for rows in (copies, copies[::-1]):
+        got = sorted((r.doc_id, r.text, r.lang) for r in simhash.one_of_each(documents(rows)).collect())
+        assert got == sorted([(5, a.upper(), "en"), (5, b, "de")])
