@@ -230,14 +230,18 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
 
 
 def known_only(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of `docs` whose text is in some language of the model, as they are: those `predict` calls `und` go."""
+    """The rows of `docs` whose text is in some language of the model, as they are: those `predict` calls `und` go.
+
+    With a model of no language, which cannot tell any text from another, all rows with letters stay.
+    """
     numbered = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
     at, shared = docs.columns.index(text), _shared(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
         for batch in batches:
-            kept = [model.mixtures(block).any(axis=1) for block in _blocks(batch.column(at))]
+            blocks = _blocks(batch.column(at))
+            kept = [model.mixtures(block).any(axis=1) if model.languages else [bool(words(x)) for x in block] for block in blocks]
             if kept:
                 yield batch.filter(pa.array(np.concatenate(kept)))
 

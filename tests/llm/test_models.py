@@ -77,6 +77,12 @@ def test_no_labels_no_prediction(documents):
     assert langid.predict(documents([(1, "text")]), empty).first().lang_pred == "und"
 
 
+def test_no_labels_keep_all_documents_with_letters(documents):
+    docs = documents([(1, "text", None), (2, None, None), (3, "12 .", None), (4, "é", None), (None, "no id", None)])
+    kept = langid.known_only(docs, langid.fit(docs, F.lit(True)))
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "4", "None"]
+
+
 def test_copies_take_no_places_in_the_sample(documents):
     texts = [f"text {k}" for k in range(90)]
     rows = [(k, t, "aa") for k, t in enumerate(texts)] + [(k, t, "bb") for k in range(120) for t in texts[:3]]
