@@ -31,8 +31,9 @@ BUCKETS = 1 << 18
 #: What is added to the count of an n-gram, and how many n-grams a context is thought to have.
 SMOOTHING = 0.05
 FOLLOWERS = 40
-#: Rounds of expectation-maximisation, and what each language costs, in times of the logarithm of the number of words.
-ROUNDS = 8
+#: How far below its maximum a document's log-likelihood may be when expectation-maximisation ends, and what each
+#: language costs, in times of the logarithm of the number of words.
+TOLERANCE = 0.01
 PENALTY = 2.0
 #: Words of documents that are worked on together.
 BLOCK_WORDS = 400_000
@@ -64,7 +65,8 @@ def grams(spelled: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     context = codes[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ codes[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F)
     gram = (context ^ codes[2:]) * np.uint64(0xD6E8FEB86659FD93)
     inside = word[2:] == word[:-2]
-    bucket = lambda x: ((x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(46)).astype(np.int64)
+    shift = np.uint64(65 - BUCKETS.bit_length())
+    bucket = lambda x: ((x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> shift).astype(np.int64)
     return bucket(gram[inside]), bucket(context[inside]), word[2:][inside]
 
 
@@ -107,21 +109,31 @@ def estimate(log_p: np.ndarray, times: np.ndarray, starts: np.ndarray, allowed:
     """Proportions among the allowed languages of each document, and its log-likelihood under them.
 
     Documents are runs of rows that begin at `starts`; a row has the likelihoods of a word and how often it occurs.
+    A round multiplies each proportion by a factor. As the log-likelihood is concave, its maximum is no further than the
+    number of words times the logarithm of the greatest factor: a document ends when that is below TOLERANCE.
     """
     doc = np.repeat(np.arange(len(starts)), np.diff([*starts, len(times)]))
     masked = np.where(allowed[doc], log_p, -np.inf)
     top = masked.max(axis=1)
-    p = np.exp(masked - top[:, None]).astype(np.float32)
-    share = (allowed / allowed.sum(axis=1, keepdims=True)).astype(np.float32)
-    times = times.astype(np.float32)
-    for _ in range(ROUNDS):
-        each = p * share[doc]
-        each *= (times / each.sum(axis=1))[:, None]
-        share = np.add.reduceat(each, starts, axis=0)
-        share = np.maximum(share / share.sum(axis=1, keepdims=True), 1e-9) * allowed
-        share = (share / share.sum(axis=1, keepdims=True)).astype(np.float32)
-    mixed = np.log((p * share[doc]).sum(axis=1)).astype(np.float64) + top
-    return share.astype(np.float64), np.add.reduceat(times * mixed, starts)
+    p = np.exp(masked - top[:, None])
+    share = allowed / allowed.sum(axis=1, keepdims=True)
+    size = np.add.reduceat(times, starts)
+    # What is left of documents that have not ended: their numbers, rows, times, places among those left, and starts.
+    open_, left, n, at, begin = np.arange(len(starts)), p, times, doc, starts
+    while len(open_):
+        each = left * share[open_][at]
+        each *= (n / each.sum(axis=1))[:, None]
+        new = np.add.reduceat(each, begin, axis=0) / size[open_][:, None]
+        factor = np.divide(new, share[open_], out=np.zeros_like(new), where=allowed[open_]).max(axis=1)
+        new = np.maximum(new, 1e-15) * allowed[open_]
+        share[open_] = new / new.sum(axis=1, keepdims=True)
+        still = size[open_] * np.log(factor) >= TOLERANCE
+        if not still.all():
+            rows = still[at]
+            left, n, at, open_ = left[rows], n[rows], (np.cumsum(still) - 1)[at[rows]], open_[still]
+            begin = np.searchsorted(at, np.arange(len(open_)))
+    mixed = np.log((p * share[doc]).sum(axis=1)) + top
+    return share, np.add.reduceat(times * mixed, starts)
 
 
 def select(log_p: np.ndarray, times: np.ndarray, starts: np.ndarray) -> np.ndarray:

@@ -72,6 +72,21 @@ def test_expectation_maximisation_finds_the_likeliest_proportions():
         assert score(share[d], rows) >= best - 0.5
 
 
+def test_proportions_of_close_languages_have_converged():
+    rng = np.random.default_rng(6)
+    log_p = np.log(1 + 0.1 * rng.random((3000, 2)))
+    first = rng.random(3000) < 0.9  # words that one of the two languages has a little more often
+    log_p[np.arange(3000), np.where(first, 0, 1)] += 0.1
+    times, starts = np.full(3000, 4.0), np.array([0, 2000])
+    share, total = langid.estimate(log_p, times, starts, np.ones((2, 2), bool))
+    grid = np.linspace(0, 1, 1001)
+    for d, rows in enumerate((slice(0, 2000), slice(2000, 3000))):
+        p = np.exp(log_p[rows])
+        most = max((times[rows] * np.log(p @ [x, 1 - x])).sum() for x in grid)
+        assert total[d] == pytest.approx((times[rows] * np.log(p @ share[d])).sum())
+        assert total[d] >= most - langid.TOLERANCE
+
+
 def test_no_labels_no_prediction(documents):
     empty = langid.fit(documents([(1, "text", None)]), F.lit(True))
     assert langid.predict(documents([(1, "text")]), empty).first().lang_pred == "und"
