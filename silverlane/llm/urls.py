@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,17 +36,40 @@ def host_and_path(url: str | Column) -> tuple[Column, Column]:
 class Rules:
     """Listed keys like `example.org/en/`: a host, which stands for its subdomains too, and a start of a path."""
 
-    keys: tuple[str, ...]
+    keys: tuple[str, ...] | DataFrame
+
+    @classmethod
+    def of(cls, keys: Iterable[str] | DataFrame) -> Rules:
+        """From the keys, or a table with them in its column `key`, which is not collected."""
+        if not isinstance(keys, DataFrame):
+            return cls(tuple(keys))
+        return cls(stored(pick(keys, key="key").where("key IS NOT NULL").distinct(), "listed-keys"))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(key): each listed key."""
+        if isinstance(self.keys, DataFrame):
+            return self.keys
+        return spark.createDataFrame([(key,) for key in sorted(set(self.keys))], "key string")
+
+    @cached_property
+    def _shapes(self) -> list[tuple[int, int]]:
+        """(labels of the host, length of the path), each pair that occurs once."""
+        if isinstance(self.keys, DataFrame):
+            host = F.substring_index("key", "/", 1)
+            shapes = self.keys.select(F.size(F.split(host, r"\.")), F.length("key") - F.length(host))
+            return [tuple(row) for row in shapes.distinct().collect()]  # as few as there are lengths of names and paths
+        hosts = [(key, key.partition("/")[0]) for key in self.keys]
+        return [(host.count(".") + 1, len(key) - len(host)) for key, host in hosts]
 
     @property
     def labels(self) -> list[int]:
         """The numbers of labels that listed hosts have."""
-        return sorted({key.partition("/")[0].count(".") + 1 for key in self.keys})
+        return sorted({n for n, _ in self._shapes})
 
     @property
     def lengths(self) -> list[int]:
         """The lengths that listed paths have."""
-        return sorted({len(key) - len(key.partition("/")[0]) for key in self.keys})
+        return sorted({size for _, size in self._shapes})
 
 
 def candidates(host: Column, path: Column, lists: Iterable[Rules]) -> Column:
@@ -119,22 +143,28 @@ def build(universe: DataFrame) -> Cascade:
 
 def key_universe(spark: SparkSession, keys: DataFrame, rules: Rules) -> DataFrame:
     """(key, listed): every key of the corpus and of the list once."""
-    listed = spark.createDataFrame([(key,) for key in sorted(set(rules.keys))], "key string").withColumn("listed", F.lit(True))
+    listed = rules.table(spark).withColumn("listed", F.lit(True))
     rest = keys.select("key", F.lit(False).alias("listed"))
     return rest.union(listed).groupBy("key").agg(F.max("listed").alias("listed"))
 
 
 def judge(
-    pages: DataFrame, allow: Iterable[str], block: Iterable[str], blocked_hosts: Iterable[str], page_id: str = "page_id", url: str = "url"
+    pages: DataFrame,
+    allow: Iterable[str],
+    block: Iterable[str],
+    blocked_hosts: Iterable[str] | DataFrame,
+    page_id: str = "page_id",
+    url: str = "url",
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict) for each row.
 
     Of the rules that fit a url the longest decides; one that is listed both ways blocks. Where none
-    fits, the verdict is block if the host or a domain above it is in `blocked_hosts`, else allow.
+    fits, the verdict is block if the host or a domain above it is in `blocked_hosts`, else allow; a long list of
+    hosts is better a table with a column `key`.
     A null url, or one without `://`, has an empty host and path, fits no rule and is allowed.
     Repeated rows and null ids stay, and other columns are not looked at.
     """
-    lists = {"allow": Rules(tuple(allow)), "block": Rules(tuple(block)), "hosts": Rules(tuple(blocked_hosts))}
+    lists = {"allow": Rules(tuple(allow)), "block": Rules(tuple(block)), "hosts": Rules.of(blocked_hosts)}
     host, path = host_and_path("url")
     rows = pick(pages, page_id=page_id, url=url).select("page_id", host.alias("host"), path.alias("path"))
     keys = candidates(F.col("host"), F.col("path"), lists.values())

@@ -106,6 +106,21 @@ def test_url_rules(spark):
     assert urls.judge(pages.limit(0), ALLOW, BLOCK, HOSTS).collect() == []
 
 
+def test_blocked_hosts_from_a_table(spark):
+    hosts = [*HOSTS, *HOSTS, None, *[f"h{k}.some.io" for k in range(3000)]]
+    listed = spark.createDataFrame([(0, h) for h in hosts], "n int, key string")
+    urls_ = ["http://www.bad.com/x", "http://bad.com", "http://notbad.com", "http://a.h7.some.io/", "http://h3000.some.io", "http://some.io", None, ""]
+    urls_ += [f"http://{h}/" for h in HOSTS]
+    pages = spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urls.judge(pages, ALLOW, BLOCK, listed).collect()}
+    same = {r.page_id: r.verdict for r in urls.judge(pages, ALLOW, BLOCK, [h for h in hosts if h]).collect()}
+    assert got == same and got[3] == "block" and got[4] == "allow"
+    wanted = {k: slow_judge(u)[3] for k, u in enumerate(urls_)} | {3: "block"}
+    assert got == wanted
+    nothing = urls.judge(pages, ALLOW, BLOCK, listed.limit(0)).collect()
+    assert {r.page_id for r in nothing if r.verdict == "block"} == {k for k, u in enumerate(urls_) if slow_judge(u)[2] in BLOCK}
+
+
 def test_cascade_is_exact_with_tiny_filters(spark, monkeypatch):
     monkeypatch.setattr(urls, "BITS_EACH", 2)
     monkeypatch.setattr(urls, "LEAST_BITS", 7)
