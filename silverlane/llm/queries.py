@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlane.llm import bpe, chat, decontaminate, html_text, langid, permutation_index, simhash, token_counts, urls, warc
-from silverlane.llm.store import pick
+from silverlane.llm import bpe, chat, decontaminate, html_text, langid, permutation_index, simhash, token_counts, token_files, urls, warc
+from silverlane.llm.store import pick, shared_folder
 
 
 #: Rules of the URL filter, and domains that are blocked where no rule fits.
@@ -94,7 +96,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"), ALLOWED, BLOCKED, BLOCKED_HOSTS)
 
 
-ALL = [op1_permutation_index, op2_token_counts, op3_decontaminate, op4_revisits, op5_chat, op6_bpe, op7_language_id, op8_simhash, op9_html_text, op10_url_filter]
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written as plane-shuffled blocks and read back."""
+    path = f"{shared_folder(spark)}/llm/ids-{uuid.uuid4().hex}"
+    token_files.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.digests(token_files.read_documents(spark, path))
+
+
+ALL = [op1_permutation_index, op2_token_counts, op3_decontaminate, op4_revisits, op5_chat, op6_bpe, op7_language_id, op8_simhash, op9_html_text, op10_url_filter, op13_token_files]
 SQL = {
     "op3_decontaminate": decontaminate.SQL,
     "op4_revisits": warc.SQL,
