@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlane.llm import bpe, chat, decontaminate, hard_negatives, html_text, langid, permutation_index, simhash, token_counts, token_files, urls, warc
+from silverlane.llm import bpe, chat, decontaminate, hard_negatives, html_text, langid, permutation_index, prefix_trie, simhash, token_counts, token_files, urls, warc
 from silverlane.llm.store import pick, shared_folder
 
 
@@ -102,6 +102,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, relabel=relabel)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each begun with up to eight turns of the first of its five."""
+    conv_id = F.col("conv_id")
+    head, base = F.crc32(conv_id.cast("string")) % 9, conv_id - conv_id % 5
+    nodes = prefix_trie.build(_table(spark, sf_dir, "conversations"), head, base, most=8)
+    return nodes.drop("turn_conv_id", "turn_place")
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written as plane-shuffled blocks and read back."""
     path = f"{shared_folder(spark)}/llm/ids-{uuid.uuid4().hex}"
@@ -109,11 +117,12 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read_documents(spark, path))
 
 
-ALL = [op1_permutation_index, op2_token_counts, op3_decontaminate, op4_revisits, op5_chat, op6_bpe, op7_language_id, op8_simhash, op9_html_text, op10_url_filter, op11_hard_negatives, op13_token_files]
+ALL = [op1_permutation_index, op2_token_counts, op3_decontaminate, op4_revisits, op5_chat, op6_bpe, op7_language_id, op8_simhash, op9_html_text, op10_url_filter, op11_hard_negatives, op12_prefix_trie, op13_token_files]
 SQL = {
     "op3_decontaminate": decontaminate.SQL,
     "op4_revisits": warc.SQL,
     "op5_chat": chat.sql(),
     "op10_url_filter": urls.sql(ALLOWED, BLOCKED, BLOCKED_HOSTS),
     "op11_hard_negatives": hard_negatives.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
 }
