@@ -13,14 +13,17 @@ range of ids is found without reading planes. Parquet is only the container that
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import count
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -35,53 +38,117 @@ from silverlane.llm.store import pick
 BLOCK = 16_384
 PLANE_BITS = 8
 LEVEL = 3
-#: A task forgets its words beyond so many bytes of them.
-REMEMBERED_BYTES = 16_000_000
+#: A task forgets the parts of texts it has met beyond so many characters of them; so many are asked for at once.
+REMEMBERED_CHARS = 8_000_000
+TOGETHER = 500
+
+
+#: Characters that stay the same, or become their lower case, whatever stands beside them, and that are no white space.
+PLAIN = "!-~\xa1-\u012f\u0131-\u024f"
+WHITE = " \t\n\r\f\v"
+
+
+def pre_token_pattern(spec: dict) -> re.Pattern | None:
+    """The pattern of the pre-tokens of PLAIN texts in lower case, for files that drop white space and lower letters; else none.
+
+    Unicode properties are written out as ranges, which `re` is faster with.
+    """
+    steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    split, *others = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+    rules = split.get("behavior"), split.get("invert"), [(o.get("type"), o.get("use_regex"), o.get("add_prefix_space")) for o in others]
+    if steps != ["NFC", "Replace", "Lowercase"] or rules != ("Removed", True, [("ByteLevel", False, False)]):
+        return None
+    if not spec["model"].get("end_of_word_suffix"):
+        return None
+    pattern = split["pattern"]["Regex"]
+    every = "".join(map(chr, range(0x250)))
+    for kind in (r"\p{L}", r"\p{N}"):
+        runs = regex.findall(f"{kind}+", every)
+        pattern = pattern.replace(kind, "".join(f"{re.escape(run[0])}-{re.escape(run[-1])}" for run in runs))
+    return None if r"\p" in pattern else re.compile(pattern)
 
 
 class Encoder:
-    """A file of the tokenizers library, with the ids of words that were met before.
+    """A file of the tokenizers library, with the ids of the parts of texts that were met before.
 
-    White space in ASCII is in no token of a file whose pre-tokenizer drops it, so the words between are encoded
-    by themselves, once each. A file that keeps white space is given whole texts instead.
+    Where the file's pre-tokens are known before the library is asked, it is asked once for each, many at a
+    time: the end-of-word mark of the last token of each says which ids are whose. Words with other characters or
+    special strings go to the library as they are, and so do whole texts if the file is of another kind.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
-        self.by_word = self.library.encode("a \n\ta", add_special_tokens=False).ids == 2 * self.library.encode("a", add_special_tokens=False).ids
         self.library.no_truncation()
         self.library.no_padding()
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        found = pre_token_pattern(spec)
+        self.find = found and found.findall
+        if found:
+            suffix, vocab = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
+            self.last = np.zeros(max(vocab.values()) + 1, bool)
+            self.last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+            special = "|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)"
+            self.odd = re.compile(f"[^{WHITE}{PLAIN}]|{special}")
+            bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            #: How the library is to take whole texts, and pre-tokens between blanks.
+            self.whole = self.library.normalizer, self.library.pre_tokenizer
+            self.ready = normalizers.Sequence([]), pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
         self.forget()
 
     def forget(self) -> None:
-        self.number: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.number: defaultdict[str, int] = defaultdict(count().__next__)
         self.held = 0
         self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
+    def parts(self, text: str) -> list[str]:
+        """The parts that are encoded by themselves: pre-tokens, and odd words."""
+        if not self.odd.search(text):
+            return self.find(text.lower())
+        cut = ([word] if self.odd.search(word) else self.find(word.lower()) for word in re.split(f"[{WHITE}]+", text))
+        return list(chain.from_iterable(cut))
+
     def ask(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids the library gives, and how many for each text."""
         found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum())), sizes
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def ask_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for parts, of which pre-tokens are joined by blanks."""
+        odd = [bool(self.odd.search(part)) for part in parts]
+        plain, others = ([p for p, o in zip(parts, odd) if o is kind] for kind in (False, True))
+        self.library.normalizer, self.library.pre_tokenizer = self.ready
+        ids, _ = self.ask([" ".join(plain[k : k + TOGETHER]) for k in range(0, len(plain), TOGETHER)])
+        self.library.normalizer, self.library.pre_tokenizer = self.whole
+        sizes = np.zeros(len(parts), np.int64)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        sizes[np.flatnonzero(~np.array(odd, bool))] = np.diff(ends, prepend=0)
+        odd_ids, sizes[np.flatnonzero(odd)] = self.ask(others)
+        out = np.empty(len(ids) + len(odd_ids), np.uint32)
+        whose = np.repeat(np.array(odd, bool), sizes)
+        out[~whose], out[whose] = ids, odd_ids
+        return out, sizes
 
     def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and how many each text has; a null text has none."""
-        if not self.by_word:
+        if not self.find:
             return self.ask([text or "" for text in texts])
-        if self.held > REMEMBERED_BYTES:
+        if self.held > REMEMBERED_CHARS:
             self.forget()
         number = self.number.__getitem__
-        cut = [np.fromiter(map(number, (text or "").encode().split()), np.int64) for text in texts]
-        new = list(self.number)[len(self.sizes) :]
+        cut = [np.fromiter(map(number, self.parts(text or "")), np.int64) for text in texts]
+        new = list(islice(self.number, len(self.sizes), None))
         if new:
-            ids, sizes = self.ask([word.decode() for word in new])
+            ids, sizes = self.ask_parts(new)
             self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
             self.held += sum(map(len, new))
-        words = np.concatenate(cut) if cut else np.zeros(0, np.int64)
-        upto = np.concatenate([[0], np.cumsum(self.sizes[words])])[np.cumsum([0, *map(len, cut)])]
-        return gather(self.ids, (np.cumsum(self.sizes) - self.sizes)[words], self.sizes[words]), np.diff(upto)
+        parts = np.concatenate(cut) if cut else np.zeros(0, np.int64)
+        upto = np.concatenate([[0], np.cumsum(self.sizes[parts])])[np.cumsum([0, *map(len, cut)])]
+        return gather(self.ids, (np.cumsum(self.sizes) - self.sizes)[parts], self.sizes[parts]), np.diff(upto)
 
 
 def planes_of(ids: np.ndarray, bits: int, pack: zstandard.ZstdCompressor) -> list[bytes]:

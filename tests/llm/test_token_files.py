@@ -94,7 +94,7 @@ def test_planes_round_trip(ids, bits):
 
 
 def test_remembered_words_are_bounded(word_bpe, monkeypatch):
-    monkeypatch.setattr(token_files, "REMEMBERED_BYTES", 50)
+    monkeypatch.setattr(token_files, "REMEMBERED_CHARS", 50)
     encoder, library = token_files.Encoder(word_bpe), Tokenizer.from_file(word_bpe)
     texts = [f"word{k} and x{k % 3} " * 3 for k in range(40)]
     for k in range(0, 40, 4):
@@ -104,6 +104,23 @@ def test_remembered_words_are_bounded(word_bpe, monkeypatch):
         assert encoder.held < 50 + 200
 
 
+@settings(max_examples=400, deadline=None, derandomize=True)
+@given(text=st.text(max_size=60) | st.text("aZ é,'.sStTdDmMlLvVrReE1²\x85\xa0\x1c\t\u0130ǅ<|>startofendtext🙂́", max_size=60))
+def test_parts_are_encoded_as_the_library_does(text):
+    import public_tokenizers
+
+    if "coder" not in _cache:
+        path = public_tokenizers.path("word_bpe_49k.json")
+        _cache["coder"] = token_files.Encoder(path), Tokenizer.from_file(path)
+    encoder, library = _cache["coder"]
+    ids, sizes = encoder.encode([text, None, text + " <|endoftext|>x"])
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in (text, "", text + " <|endoftext|>x")]
+    assert ids.tolist() == [i for w in wanted for i in w] and sizes.tolist() == list(map(len, wanted))
+
+
+_cache: dict = {}
+
+
 def test_query_equals_the_library(spark, word_bpe):
     from silverlane.llm.queries import op13_token_files
 
