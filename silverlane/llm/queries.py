@@ -114,7 +114,7 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written as plane-shuffled blocks and read back."""
     path = f"{shared_folder(spark)}/llm/ids-{uuid.uuid4().hex}"
     token_files.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
-    return token_files.digests(token_files.read_documents(spark, path))
+    return token_files.read_digests(spark, path)
 
 
 ALL = [op1_permutation_index, op2_token_counts, op3_decontaminate, op4_revisits, op5_chat, op6_bpe, op7_language_id, op8_simhash, op9_html_text, op10_url_filter, op11_hard_negatives, op12_prefix_trie, op13_token_files]

@@ -6,7 +6,7 @@ by itself with zstandard. Planes that are zero throughout are not stored.
 
 A folder holds two Parquet tables. `blocks` has one row for each block: which part of the order it is of and its number
 there, the position of its first id within the part, its documents with their offsets (negative for one that
-began in an earlier block), whether the last one goes on in the next block, the planes, and a checksum. `index` has the
+began in an earlier block) and lengths, the planes, and a checksum. `index` has the
 position of every block's first id in the whole order, its documents and the bytes of its planes, so that a
 range of ids is found without reading planes. Parquet is only the container that any Spark store can hold.
 """
@@ -16,10 +16,12 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import zlib
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, count, islice
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,7 @@ BLOCK = 16_384
 PLANE_BITS = 8
 LEVEL = 3
 #: A task forgets the parts of texts it has met beyond so many characters of them; so many are asked for at once.
-REMEMBERED_CHARS = 8_000_000
+REMEMBERED_CHARS = 4_000_000
 TOGETHER = 500
 
 
@@ -99,8 +101,17 @@ class Encoder:
             self.ready = normalizers.Sequence([]), pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
         self.forget()
 
+    @classmethod
+    def kept(cls, path: str) -> Encoder:
+        """The encoder of this file that the Python worker has from an earlier task, or a new one."""
+        held = sys.modules.setdefault("_kept_encoders", ModuleType("_kept_encoders")).__dict__
+        if path not in held:
+            held[path] = cls(path)
+        return held[path]
+
     def forget(self) -> None:
         self.number: defaultdict[str, int] = defaultdict(count().__next__)
+        self.odd_words: set[str] = set()
         self.held = 0
         self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
@@ -108,8 +119,14 @@ class Encoder:
         """The parts that are encoded by themselves: pre-tokens, and odd words."""
         if not self.odd.search(text):
             return self.find(text.lower())
-        cut = ([word] if self.odd.search(word) else self.find(word.lower()) for word in re.split(f"[{WHITE}]+", text))
-        return list(chain.from_iterable(cut))
+        cut = []
+        for word in re.split(f"[{WHITE}]+", text):
+            if self.odd.search(word):
+                self.odd_words.add(word)
+                cut.append(word)
+            else:
+                cut += self.find(word.lower())
+        return cut
 
     def ask(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids the library gives, and how many for each text."""
@@ -119,17 +136,17 @@ class Encoder:
 
     def ask_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for parts, of which pre-tokens are joined by blanks."""
-        odd = [bool(self.odd.search(part)) for part in parts]
-        plain, others = ([p for p, o in zip(parts, odd) if o is kind] for kind in (False, True))
+        odd = np.fromiter((part in self.odd_words for part in parts), bool, len(parts))
+        plain, others = ([p for p, o in zip(parts, odd.tolist()) if o is kind] for kind in (False, True))
         self.library.normalizer, self.library.pre_tokenizer = self.ready
         ids, _ = self.ask([" ".join(plain[k : k + TOGETHER]) for k in range(0, len(plain), TOGETHER)])
         self.library.normalizer, self.library.pre_tokenizer = self.whole
         sizes = np.zeros(len(parts), np.int64)
         ends = np.flatnonzero(self.last[ids]) + 1
-        sizes[np.flatnonzero(~np.array(odd, bool))] = np.diff(ends, prepend=0)
-        odd_ids, sizes[np.flatnonzero(odd)] = self.ask(others)
+        sizes[~odd] = np.diff(ends, prepend=0)
+        odd_ids, sizes[odd] = self.ask(others)
         out = np.empty(len(ids) + len(odd_ids), np.uint32)
-        whose = np.repeat(np.array(odd, bool), sizes)
+        whose = np.repeat(odd, sizes)
         out[~whose], out[whose] = ids, odd_ids
         return out, sizes
 
@@ -173,19 +190,20 @@ class Cutter:
     def __init__(self, block: int, bits: int):
         self.block, self.bits, self.pack = block, bits, zstandard.ZstdCompressor(level=LEVEL)
         self.left, self.first, self.blocks = np.zeros(0, np.uint32), 0, 0
-        self.keys, self.starts, self.end = [], [], 0
+        self.keys, self.starts, self.sizes, self.end = [], [], [], 0
 
     def add(self, ids: np.ndarray, sizes: np.ndarray, keys: list) -> Iterator[tuple]:
         """The blocks that are full with these documents."""
         ends = self.end + np.cumsum(sizes)
         self.keys += keys
         self.starts += (ends - sizes).tolist()
+        self.sizes += sizes.tolist()
         self.end = int(ends[-1]) if len(ends) else self.end
         self.left = np.concatenate([self.left, ids])
         yield from self.cut(self.block)
 
     def cut(self, least: int) -> Iterator[tuple]:
-        """Rows of (block, first, docs, continued, n_ids, crc, planes) while `least` ids are left."""
+        """Rows of (block, first, docs, n_ids, crc, planes) while `least` ids are left."""
         done, gone = 0, 0
         while len(self.left) - done >= least:
             ids = self.left[done : done + self.block]
@@ -193,14 +211,14 @@ class Cutter:
             listed = gone
             while listed < len(self.starts) and self.starts[listed] < upto:
                 listed += 1
-            docs = [(key, start - self.first) for key, start in zip(self.keys[gone:listed], self.starts[gone:listed])]
+            docs = [(key, start - self.first, size) for key, start, size in zip(*(c[gone:listed] for c in (self.keys, self.starts, self.sizes)))]
             after = self.starts[listed] if listed < len(self.starts) else self.end
             crc = zlib.crc32(ids.astype("<u4").tobytes())
-            yield self.blocks, self.first, docs, after > upto, len(ids), crc, planes_of(ids, self.bits, self.pack)
+            yield self.blocks, self.first, docs, len(ids), crc, planes_of(ids, self.bits, self.pack)
             gone = listed - 1 if after > upto else listed
             self.first, self.blocks, done = upto, self.blocks + 1, done + len(ids)
         self.left = self.left[done:]
-        del self.keys[:gone], self.starts[:gone]
+        del self.keys[:gone], self.starts[:gone], self.sizes[:gone]
 
 
 def write(
@@ -225,8 +243,7 @@ def write(
             T.StructField("part", T.IntegerType()),
             T.StructField("block", T.IntegerType()),
             T.StructField("first", T.LongType()),
-            T.StructField("docs", T.ArrayType(T.StructType([rows.schema["doc_id"], T.StructField("at", T.LongType())]))),
-            T.StructField("continued", T.BooleanType()),
+            T.StructField("docs", T.ArrayType(T.StructType([rows.schema["doc_id"], *[T.StructField(n, T.LongType()) for n in ("at", "n")]]))),
             T.StructField("n_ids", T.IntegerType()),
             T.StructField("crc", T.LongType()),
             T.StructField("planes", T.ArrayType(T.BinaryType())),
@@ -238,12 +255,12 @@ def write(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow, part = to_arrow_schema(schema), TaskContext.get().partitionId()
-        encoder, cutter = Encoder(tokenizer), Cutter(block, plane_bits)
+        encoder, cutter = Encoder.kept(tokenizer), Cutter(block, plane_bits)
 
         def batch_of(found: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
             for row in found:
                 values = (part, *row, plane_bits)
-                values = [[dict(zip(("doc_id", "at"), d)) for d in v] if f.name == "docs" else v for v, f in zip(values, arrow)]
+                values = [[dict(zip(("doc_id", "at", "n"), d)) for d in v] if f.name == "docs" else v for v, f in zip(values, arrow)]
                 yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], schema=arrow)
 
         for batch in batches:
@@ -294,23 +311,33 @@ def _checked(row: dict, unpack: zstandard.ZstdDecompressor) -> np.ndarray:
     return ids
 
 
-def read_pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, at, whole, ids): what each block has of each document.
+def _times(a: int, b: int) -> int:
+    """Product of two polynomials over two elements modulo that of CRC-32, the lowest power in the highest bit."""
+    out = 0
+    while a:
+        if a & 1 << 31:
+            out ^= b
+        a = a << 1 & 0xFFFFFFFF
+        b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+    return out
 
-    `start` is the number of ids of all documents before it, `at` the place of the piece in the document, `whole`
-    whether it is all of it; ids are 4 bytes each, lowest first.
-    """
+
+def crc_before(crc: int, n_bytes: int) -> int:
+    """What a piece of this checksum adds to that of the whole, if so many bytes follow; the parts are combined by XOR."""
+    power, square = 1 << 31, 1 << 23  # 1, and x to the 8th
+    while n_bytes:
+        if n_bytes & 1:
+            power = _times(power, square)
+        n_bytes, square = n_bytes >> 1, _times(square, square)
+    return _times(power, crc)
+
+
+def _pieces(spark: SparkSession, path: str, last: T.StructField, value: Callable[[bytes, int], object]) -> DataFrame:
+    """(doc_id, start, n_tokens, at, whole) of what each block has of each document, and a value of its ids and the bytes behind."""
     held = _blocks(spark, path)
     doc = held.schema["docs"].dataType.elementType["doc_id"]
-    schema = T.StructType(
-        [
-            T.StructField("doc_id", doc.dataType),
-            T.StructField("start", T.LongType()),
-            T.StructField("at", T.LongType()),
-            T.StructField("whole", T.BooleanType()),
-            T.StructField("ids", T.BinaryType()),
-        ]
-    )
+    longs = [T.StructField(n, T.LongType()) for n in ("start", "n_tokens", "at")]
+    schema = T.StructType([T.StructField("doc_id", doc.dataType), *longs, T.StructField("whole", T.BooleanType()), last])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -319,32 +346,37 @@ def read_pieces(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                ids = _checked(row, unpack)
-                at = [d["at"] for d in row["docs"]]
-                ends = [*at[1:], len(ids)]
-                first = row["offset"] + row["first"]
-                columns = (
-                    [d["doc_id"] for d in row["docs"]],
-                    [first + a for a in at],
-                    [max(0, -a) for a in at],
-                    [a >= 0 and (k + 1 < len(at) or not row["continued"]) for k, a in enumerate(at)],
-                    [ids[max(0, a) : b].tobytes() for a, b in zip(at, ends)],
-                )
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
-
-    needed = held.select("part", "block", "offset", "first", "docs", "continued", "n_ids", "crc", "planes", "plane_bits")
+                ids, first, made = _checked(row, unpack), row["offset"] + row["first"], []
+                for doc in row["docs"]:
+                    at, end = doc["at"], doc["at"] + doc["n"]
+                    piece = ids[max(0, at) : end].tobytes()
+                    whole = at >= 0 and end <= len(ids)
+                    made.append((doc["doc_id"], first + at, doc["n"], max(0, -at), whole, value(piece, max(0, end - len(ids)) * 4)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), arrow)], schema=arrow)
+
+    needed = held.select("part", "block", "offset", "first", "docs", "n_ids", "crc", "planes", "plane_bits")
     return needed.mapInArrow(run, schema)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, ids) of every document; only documents that lie in several blocks are shuffled."""
-    pieces = read_pieces(spark, path)
-    joined = (
-        pieces.where(~F.col("whole"))
-        .groupBy("start", "doc_id")
-        .agg(F.expr("listagg(ids) WITHIN GROUP (ORDER BY at)").alias("ids"))
-    )
-    return pieces.where("whole").select("doc_id", "start", "ids").union(joined.select("doc_id", "start", "ids"))
+    """(doc_id, start, n_tokens, ids) of every document, ids as 4 bytes each, lowest first.
+
+    `start` is the number of ids of all documents before it. Only documents that lie in several blocks are shuffled.
+    """
+    pieces = _pieces(spark, path, T.StructField("ids", T.BinaryType()), lambda piece, behind: piece)
+    names = ["doc_id", "start", "n_tokens", "ids"]
+    joined = pieces.where(~F.col("whole")).groupBy("start", "doc_id", "n_tokens")
+    joined = joined.agg(F.expr("listagg(ids) WITHIN GROUP (ORDER BY at)").alias("ids"))
+    return pieces.where("whole").select(names).union(joined.select(names))
+
+
+def read_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document: the checksum of its ids as read back.
+
+    Only checksums of pieces are shuffled.
+    """
+    pieces = _pieces(spark, path, T.StructField("crc", T.LongType()), lambda piece, behind: crc_before(zlib.crc32(piece), behind))
+    return pieces.groupBy("start", "doc_id", "n_tokens").agg(F.bit_xor("crc").alias("ids_crc32")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def read_range(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
@@ -373,12 +405,3 @@ def read_range(spark: SparkSession, path: str, first: int, last: int) -> DataFra
 
     return held.select("part", "block", "offset", "first", "n_ids", "crc", "planes", "plane_bits").mapInArrow(run, schema)
 
-
-def digests(documents: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of documents as read back."""
-    return documents.select(
-        "doc_id",
-        "start",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.crc32("ids").alias("ids_crc32"),
-    )

@@ -32,9 +32,14 @@ def expected(rows, path, end_id=1):
     return out
 
 
-def found(df):
-    rows = token_files.digests(df).collect()
-    return sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in rows), key=lambda r: r[1])
+def found(spark, path):
+    """The same from the files, by both readers."""
+    documents = token_files.read_documents(spark, path).collect()
+    assert all(len(r.ids) == 4 * r.n_tokens for r in documents)
+    one = sorted(((r.doc_id, r.start, r.n_tokens, zlib.crc32(r.ids)) for r in documents), key=lambda r: r[1])
+    digests = token_files.read_digests(spark, path).collect()
+    assert sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in digests), key=lambda r: r[1]) == one
+    return one
 
 
 @pytest.mark.parametrize("block, bits", [(1, 1), (7, 8), (64, 1), (16_384, 8)])
@@ -45,7 +50,7 @@ def test_files_give_back_what_the_library_encodes(spark, documents, odd_texts, w
     rows = [(k % 9, t) for k, t in enumerate(texts)] + [(None, "no id"), (None, None), (3, "twice"), (3, "twice")]
     docs = documents(rows).repartition(5)
     token_files.write(docs, where, word_bpe, block=block, plane_bits=bits)
-    assert found(token_files.read_documents(spark, where)) == expected(rows, word_bpe)
+    assert found(spark, where) == expected(rows, word_bpe)
 
 
 def test_a_file_that_keeps_white_space_and_clashing_columns(spark, documents, odd_texts, byte_bpe, where):
@@ -53,7 +58,7 @@ def test_a_file_that_keeps_white_space_and_clashing_columns(spark, documents, od
     docs = documents(rows).withColumn("ids", F.lit(1)).withColumn("part", F.lit(2)).withColumn("T", F.lit(3))
     docs = docs.toDF(*[c if c != "T" else "TEXT" for c in docs.columns])
     token_files.write(docs, where, byte_bpe, block=100, end_id=50256)
-    assert found(token_files.read_documents(spark, where)) == expected(rows, byte_bpe, 50256)
+    assert found(spark, where) == expected(rows, byte_bpe, 50256)
 
 
 def test_empty_table(spark, documents, word_bpe, where):
@@ -93,6 +98,17 @@ def test_planes_round_trip(ids, bits):
     assert token_files.ids_of(planes, len(ids), bits, zstandard.ZstdDecompressor()).tolist() == ids.tolist()
 
 
+@settings(max_examples=200, deadline=None, derandomize=True)
+@given(parts=st.lists(st.binary(max_size=40), max_size=5))
+def test_checksums_of_pieces_combine(parts):
+    whole, crc = b"".join(parts), 0
+    behind = len(whole)
+    for part in parts:
+        behind -= len(part)
+        crc ^= token_files.crc_before(zlib.crc32(part), behind)
+    assert crc == zlib.crc32(whole)
+
+
 def test_remembered_words_are_bounded(word_bpe, monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED_CHARS", 50)
     encoder, library = token_files.Encoder(word_bpe), Tokenizer.from_file(word_bpe)
