@@ -44,13 +44,11 @@ def write_batch(
     try:
         n_valid = valid.count()
         n_raw = seen.get["n_raw"]  # from the job that counted the valid rows
-        if n_valid:
-            table.insert_absent(valid, write_id)
+        n_inserted = table.insert_absent(valid, write_id) if n_valid else 0
     finally:
         valid.unpersist()
     if not n_raw:
         return
-    n_inserted = table.written_by(write_id).count() if n_valid else 0
     row = (n_raw, n_valid, n_raw - n_valid, n_inserted, write_id)
     one = batch.sparkSession.createDataFrame([row], METRICS).coalesce(1)
     one.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(WRITE_ID).parquet(

@@ -53,7 +53,9 @@ def difference(spark, sf_dir: str, query, sql: str) -> str:
     kinds = [
         f"{c}: {got[c].dtype} != {expected[c].dtype}"
         for c in got.columns
-        if got[c].dtype != expected[c].dtype and {got[c].dtype.kind, expected[c].dtype.kind} != {"M"}
+        if got[c].dtype != expected[c].dtype
+        and {got[c].dtype.kind, expected[c].dtype.kind} != {"M"}
+        and not (expected[c].hasnans and str(expected[c].dtype).lower() == "int64")  # Spark's go through floats
     ]
     return "" if not kinds else f"types differ: {kinds}"
 
