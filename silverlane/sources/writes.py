@@ -133,8 +133,7 @@ def absent(rows: DataFrame, known: DataFrame, key: str, sent_keys: int = SENT_KE
     """
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(key).cast("string"))).alias("bytes")).first()
     if size.n <= sent_keys and (size.bytes or 0) <= SENT_BYTES:
-        asked = rows.select("key_hash", key).distinct()
-        held = known.join(F.broadcast(_side(asked, key)), _same(key), "left_semi").select("key_hash", key)
+        held = known.join(F.broadcast(_side(rows, key)), _same(key), "left_semi").select("key_hash", key)
         return rows.join(F.broadcast(_side(held, key)), _same(key), "left_anti")
     return rows.join(_side(known, key).hint("merge"), _same(key), "left_anti")
 

@@ -17,9 +17,12 @@ from silverlane.operators.skew import Share, split_by_share
 from silverlane.plans import evaluation, profiles
 from silverlane.plans.gold import gold_alerts as score
 from silverlane.plans.gold import replace_gold
-from silverlane.schema import OTHER, TRANSACTION, VALID_CHANNELS
+from silverlane.plans.incremental import ScoreStore
+from silverlane.schema import CORRUPT, OTHER, TRANSACTION, VALID_CHANNELS
 from silverlane.scratch import run_dir
 from silverlane.sources import landing, tables, writes
+from silverlane.sources.evolving import EvolvingTable
+from silverlane.streaming.bronze import run_bronze
 from silverlane.streaming.silver import batch_metrics, run_silver
 from workload import inputs as given
 from workload.inputs import MAX_TX, WINDOW_S, Z
@@ -423,6 +426,40 @@ def bronze_unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("transaction_id", "amount", coupon.alias("coupon"), event.cast("long").alias("event"))
 
 
+def bronze_schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
+    """Three landings, each with a new or wider field, and the types they end up with."""
+    e, path, root = given.events(spark, sf), run_dir(spark, "landing"), run_dir(spark, "bronze")
+    n, city = F.col("event_id"), F.concat(F.lit("city_"), F.col("user_id") % 10)
+    zoned = F.struct(city.alias("city"), (F.col("user_id") % 3).alias("zone"))
+    landings = (
+        (n.alias("id"), F.floor("value").alias("amount"), n.alias("code"), F.struct(city.alias("city")).alias("place")),
+        (n.alias("id"), F.col("value").alias("amount"), n.alias("code"), F.concat(F.lit("c"), n).alias("coupon")),
+        (n.alias("id"), F.floor("value").alias("amount"), F.concat(F.lit("k"), n).alias("code"), zoned.alias("place")),
+    )
+    table = EvolvingTable(spark, f"{root}/rows")
+    for k, columns in enumerate(landings):
+        landing.land(e.where(n % 3 == k).select(*columns), path)
+        run_bronze(spark, path, table, f"{root}/checkpoint")
+    rows = table.read()
+    types = F.concat_ws(", ", *[F.lit(f"{f.name} {f.dataType.simpleString()}") for f in sorted(rows.schema.fields[:5], key=lambda f: f.name)])
+    aside = F.col(OTHER).isNotNull() | F.col(CORRUPT).isNotNull()
+    return rows.select(
+        "id", "amount", "code", "coupon", "place.city", "place.zone", "schema_version", types.alias("types"), aside.alias("kept_aside")
+    )
+
+
+def gold_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads in which every user's rows are mixed, each scoring only the users it touches."""
+    path, root = run_dir(spark, "cleaned"), run_dir(spark, "scores")
+    given.silver(spark, sf).write.parquet(path)  # cleaned once for all loads
+    silver = spark.read.parquet(path)
+    store = ScoreStore(spark, f"{root}/store", silver.drop("event_id").schema, buckets=4)
+    for k in (2, 0, 1):
+        store.add(silver.where(F.col("event_id") % 3 == k), f"load-{k}")
+        store.refresh(f"{root}/gold", f"load-{k}", z_threshold=Z, window_s=WINDOW_S, max_tx=MAX_TX)
+    return _shown(spark.read.parquet(f"{root}/gold"), GOLD)
+
+
 def stream_batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Totals over the micro-batches; how many there were depends on the files."""
     sums = [F.sum(c).alias(c) for c in ("n_raw", "n_valid", "n_rejected", "n_inserted")]
@@ -665,6 +702,8 @@ ALL = (
     bronze_snapshot,
     bronze_stream_ingest,
     bronze_unknown_fields,
+    bronze_schema_evolution,
+    gold_incremental,
     stream_batch_metrics,
     silver_scan,
     table_append,
