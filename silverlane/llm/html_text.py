@@ -12,6 +12,7 @@ import html as entities
 import math
 import random
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -55,7 +56,7 @@ ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']+))
 WORD = re.compile(r"[a-z]+")
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     """A block element, or a run of text (tag `#text`)."""
 
@@ -68,16 +69,56 @@ class Node:
     main: str | None = None  # of labelled pages: "1" or "0" from here down
 
 
-@dataclass
-class _Open:
-    tag: str
-    node: int  # the block it is or stands in
+class _Stack:
+    """The open elements, with the places of each tag, so that none has to be searched for.
+
+    An inline element that ends before those inside it keeps its place, without a tag.
+    """
+
+    def __init__(self) -> None:
+        self.tags: list[str | None] = []
+        self.nodes: list[int] = []  # the block an element is or stands in
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []  # places of elements that are no inline ones
+        self.links: Counter[int] = Counter()  # open links by block
+        self.push("#page", 0)
+
+    def push(self, tag: str, node: int) -> None:
+        self.places[tag].append(len(self.tags))
+        if tag not in INLINE:
+            self.blocks.append(len(self.tags))
+        if tag == "a":
+            self.links[node] += 1
+        self.tags.append(tag)
+        self.nodes.append(node)
+
+    def last(self, *tags: str) -> int:
+        """The place of the nearest open element of these, -1 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places[t]), default=-1)
+
+    def end(self, place: int) -> None:
+        """Ends the element at this place, the nearest of its tag, alone."""
+        tag = self.tags[place]
+        self.places[tag].pop()
+        if tag == "a":
+            self.links[self.nodes[place]] -= 1
+        self.tags[place] = None
+
+    def cut(self, place: int) -> None:
+        """Ends the element at this place and all inside it."""
+        while len(self.tags) > place:
+            if self.tags[-1] is not None:
+                self.end(len(self.tags) - 1)
+            self.tags.pop()
+            self.nodes.pop()
+        while self.blocks and self.blocks[-1] >= place:
+            self.blocks.pop()
 
 
 def parse(page: str) -> list[Node]:
     """The nodes of a page in page order, parents first. Unclosed, misplaced and cut-off markup is tolerated."""
     nodes = [Node("#page", -1)]
-    stack = [_Open("#page", 0)]
+    stack = _Stack()
     run: list[str] = []
     linked = 0
 
@@ -85,7 +126,7 @@ def parse(page: str) -> list[Node]:
         nonlocal linked
         text = " ".join("".join(run).split())
         if text:
-            nodes.append(Node("#text", stack[-1].node, text=text, chars=len(text), link_chars=min(linked, len(text))))
+            nodes.append(Node("#text", stack.nodes[-1], text=text, chars=len(text), link_chars=min(linked, len(text))))
         run.clear()
         linked = 0
 
@@ -94,18 +135,15 @@ def parse(page: str) -> list[Node]:
         if data:
             data = entities.unescape(data)
             run.append(data)
-            if any(o.tag == "a" for o in stack if o.node == stack[-1].node):
+            if stack.links[stack.nodes[-1]]:
                 linked += len(data.strip())
 
     def close(tags: tuple[str, ...], until: tuple[str, ...]) -> None:
         """Ends the nearest open element of these, if none of `until` stands between."""
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in tags:
-                end_run()
-                del stack[k:]
-                return
-            if stack[k].tag in until:
-                return
+        place = stack.last(*tags)
+        if place > 0 and place >= stack.last(*until):
+            end_run()
+            stack.cut(place)
 
     at = 0
     while at < len(page):
@@ -122,12 +160,9 @@ def parse(page: str) -> list[Node]:
         tag = tag.lower()
         if slash:
             if tag in INLINE:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == tag:
-                        del stack[k]
-                        break
-                    if stack[k].tag not in INLINE:
-                        break
+                place = stack.last(tag)
+                if place > stack.blocks[-1]:
+                    stack.end(place)
             else:
                 close((tag,), ())
             continue
@@ -141,7 +176,7 @@ def parse(page: str) -> list[Node]:
             run.append(" ")
         if tag in INLINE:
             if tag not in VOID:
-                stack.append(_Open(tag, stack[-1].node))
+                stack.push(tag, stack.nodes[-1])
             continue
         end_run()
         if tag in ENDS_P:
@@ -149,12 +184,16 @@ def parse(page: str) -> list[Node]:
         if tag in SAME:
             for _ in range(2):
                 close(*SAME[tag])
-        attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(rest)}
-        named = WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
-        seen = {f"word {w[:6]}" for w in named} | {f"role {w}" for w in WORD.findall(attributes.get("role", "").lower())}
-        nodes.append(Node(tag, stack[-1].node, tuple(sorted(seen)), main=attributes.get("data-main")))
+        seen, main = (), None
+        if "=" in rest:
+            attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(rest)}
+            named = WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
+            role = WORD.findall(attributes.get("role", "").lower())
+            seen = tuple(sorted({f"word {w[:6]}" for w in named} | {f"role {w}" for w in role}))
+            main = attributes.get("data-main")
+        nodes.append(Node(tag, stack.nodes[-1], seen, main=main))
         if tag not in VOID and not rest.rstrip().endswith("/"):
-            stack.append(_Open(tag, len(nodes) - 1))
+            stack.push(tag, len(nodes) - 1)
     end_run()
     for node in reversed(nodes):
         if node.parent >= 0:

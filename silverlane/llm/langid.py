@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ FOLLOWERS = 40
 #: language costs, in times of the logarithm of the number of words.
 TOLERANCE = 0.01
 PENALTY = 2.0
+#: Share of its words that a language must have for a document to be accepted as one in it.
+LEAST = 0.5
 #: Words of documents that are worked on together.
 BLOCK_WORDS = 400_000
 #: Runs of letters: word characters but decimal digits, which in rare texts have other numerals among them.
@@ -110,7 +112,10 @@ def estimate(log_p: np.ndarray, times: np.ndarray, starts: np.ndarray, allowed:
 
     Documents are runs of rows that begin at `starts`; a row has the likelihoods of a word and how often it occurs.
     A round multiplies each proportion by a factor. As the log-likelihood is concave, its maximum is no further than the
-    number of words times the logarithm of the greatest factor: a document ends when that is below TOLERANCE.
+    number of words times the logarithm of the greatest factor: a document ends when that is below TOLERANCE, or
+    when rounding hides what a round gains. Rounds alone creep where languages are close, so after every two the
+    change is extrapolated (squared, with the step length of the two differences), and the place it leads
+    to is taken if it is at least as likely.
     """
     doc = np.repeat(np.arange(len(starts)), np.diff([*starts, len(times)]))
     masked = np.where(allowed[doc], log_p, -np.inf)
@@ -120,14 +125,38 @@ def estimate(log_p: np.ndarray, times: np.ndarray, starts: np.ndarray, allowed:
     size = np.add.reduceat(times, starts)
     # What is left of documents that have not ended: their numbers, rows, times, places among those left, and starts.
     open_, left, n, at, begin = np.arange(len(starts)), p, times, doc, starts
+
+    def proper(x: np.ndarray) -> np.ndarray:
+        x = np.maximum(x, 1e-15) * allowed[open_]
+        return x / x.sum(axis=1, keepdims=True)
+
+    def step(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A round from here, and the log-likelihood here."""
+        each = left * x[at]
+        mix = each.sum(axis=1)
+        each *= (n / mix)[:, None]
+        return np.add.reduceat(each, begin, axis=0) / size[open_][:, None], np.add.reduceat(n * np.log(mix), begin)
+
     while len(open_):
-        each = left * share[open_][at]
-        each *= (n / each.sum(axis=1))[:, None]
-        new = np.add.reduceat(each, begin, axis=0) / size[open_][:, None]
-        factor = np.divide(new, share[open_], out=np.zeros_like(new), where=allowed[open_]).max(axis=1)
-        new = np.maximum(new, 1e-15) * allowed[open_]
-        share[open_] = new / new.sum(axis=1, keepdims=True)
+        here = share[open_]
+        first, likely = step(here)
+        factor = np.divide(first, here, out=np.zeros_like(first), where=allowed[open_]).max(axis=1)
+        first = proper(first)
+        share[open_] = first
         still = size[open_] * np.log(factor) >= TOLERANCE
+        if still.any():
+            second, likely_first = step(first)
+            second = proper(second)
+            change = first - here
+            bend = second - first - change
+            length = np.linalg.norm(change, axis=1) / np.maximum(np.linalg.norm(bend, axis=1), 1e-300)
+            length = np.clip(length, 1, 1e6)[:, None]
+            far = proper(here + 2 * length * change + length**2 * bend)
+            beyond, likely_far = step(far)
+            better = likely_far >= likely_first
+            share[open_] = np.where(better[:, None], proper(beyond), second)
+            gain = np.where(better, likely_far, likely_first) - likely
+            still &= gain > 1e-14 * np.abs(likely)
         if not still.all():
             rows = still[at]
             left, n, at, open_ = left[rows], n[rows], (np.cumsum(still) - 1)[at[rows]], open_[still]
@@ -241,21 +270,42 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     return rows.mapInArrow(run, schema)
 
 
-def known_only(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of `docs` whose text is in some language of the model, as they are: those `predict` calls `und` go.
-
-    With a model of no language, which cannot tell any text from another, all rows with letters stay.
+def accepted(
+    docs: DataFrame,
+    model: Model,
+    wanted: Collection[str] | None = None,
+    least: float = LEAST,
+    text: str = "text",
+    lang: str = "lang",
+) -> DataFrame:
+    """The rows of `docs` of whose text some wanted language (None: any of the model) has at least this share of the words.
+
+    Their `lang` becomes the wanted language of the largest share, ties to the one that sorts first; whatever label they came
+    with is not looked at. A text without letters, in other languages, or mixed of so many that none reaches the
+    share goes, and so does a null text. With a model of no language, which cannot tell any text from
+    another, all rows with letters stay as they are.
     """
     numbered = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
-    at, shared = docs.columns.index(text), _shared(docs, model)
+    at, label, shared = docs.columns.index(text), docs.columns.index(lang), _shared(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
+        asked = [k for k, name in enumerate(model.languages) if wanted is None or name in wanted]
+        names = np.array([model.languages[k] for k in asked], object)
         for batch in batches:
-            blocks = _blocks(batch.column(at))
-            kept = [model.mixtures(block).any(axis=1) if model.languages else [bool(words(x)) for x in block] for block in blocks]
-            if kept:
-                yield batch.filter(pa.array(np.concatenate(kept)))
+            kept, found = [], []
+            for block in _blocks(batch.column(at)):
+                if not model.languages:
+                    kept += [bool(words(x)) for x in block]
+                elif not asked:
+                    kept += [False] * len(block)
+                else:
+                    shares = model.mixtures(block)[:, asked]
+                    kept += (shares.max(axis=1) >= max(least, 1e-6)).tolist()
+                    found += names[shares.argmax(axis=1)].tolist()
+            if found:
+                batch = batch.set_column(label, batch.schema.field(label), pa.array(found, pa.string()))
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
 

@@ -52,8 +52,9 @@ def test_languages_and_mixtures(documents, model, odd_texts):
     found = {r.doc_id: r.lang_pred for r in langid.predict(odd, model).collect()}
     has_letters = {k for k, t in enumerate(odd_texts) if t and any(c.isalpha() for c in t)}
     assert {k for k, v in found.items() if v != "und"} == has_letters
-    kept = langid.known_only(odd, model)
-    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == has_letters
+    kept = langid.accepted(odd, model)
+    majority = {r.doc_id for r in langid.predict(odd, model).where("score >= 0.5").collect()}
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == majority <= has_letters
     assert langid.predict(documents([]), model).collect() == []
 
 
@@ -87,6 +88,101 @@ def test_proportions_of_close_languages_have_converged():
         assert total[d] >= most - langid.TOLERANCE
 
 
+@pytest.mark.parametrize("n, apart", [(20_000, 1e-3), (20_000, 1e-4), (1_000_000, 1e-3), (1_000_000, 1e-5)])
+def test_long_texts_of_close_languages_end_soon(n, apart, monkeypatch):
+    rng = np.random.default_rng(8)
+    log_p = np.log(1 + apart * rng.random((n, 3)))
+    times, allowed = np.ones(n), np.ones((1, 3), bool)
+    rounds, real = [], np.add.reduceat
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(np.add, name)
+
+        def reduceat(self, *args, **options):
+            rounds.append(1)
+            return real(*args, **options)
+
+    class Numpy:
+        add = Counted()
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+    monkeypatch.setattr(langid, "np", Numpy())
+    share, total = langid.estimate(log_p, times, np.array([0]), allowed)
+    assert len(rounds) < 2 * 3 * 60  # two sums a round, three rounds for each extrapolation
+    p = np.exp(log_p)
+    steps = p / (p @ share[0])[:, None]
+    assert n * np.log(steps.mean(axis=0).max()) < 2 * langid.TOLERANCE  # the bound itself, one round later
+
+
+def test_the_selected_set_is_near_the_best_of_all_sets():
+    from itertools import combinations
+
+    rng, k = np.random.default_rng(11), 4
+    starts = np.arange(0, 600, 60)
+    kinds = rng.integers(1, 4, len(starts))
+    log_p = np.log(rng.random((600, k)) * 0.05 + 1e-3)
+    for d, (start, few) in enumerate(zip(starts, kinds)):
+        said = rng.choice(k, few, replace=False)
+        log_p[np.arange(start, start + 60), rng.choice(said, 60)] += 2
+    times = rng.integers(1, 4, 600).astype(float)
+    chosen = langid.select(log_p, times, starts)
+    sums = np.add.reduceat(times, starts)
+
+    def score(allowed):
+        _, total = langid.estimate(log_p, times, starts, np.tile(allowed, (len(starts), 1)))
+        return total - langid.PENALTY * np.log1p(sums) * allowed.sum()
+
+    sets = [np.isin(np.arange(k), c) for n in range(1, k + 1) for c in combinations(range(k), n)]
+    every = np.array([score(s) for s in sets])
+    got = [every[[i for i, s in enumerate(sets) if (s == (row > 1e-6)).all()][0], d] for d, row in enumerate(chosen)]
+    assert (np.array(got) >= every.max(axis=0) - 0.1).mean() >= 0.9
+
+
+def test_a_document_stays_by_its_mixture_and_not_its_label(documents):
+    rng = random.Random(5)
+    rows = [(k, prose(("aa", "bb", "cc")[k % 3], 80, rng), ("aa", "bb", "cc")[k % 3]) for k in range(90)]
+    model = langid.fit(documents(rows), F.lit(True))
+    mix = " ".join(prose(lang, 60, rng) for lang in ("aa", "bb", "cc"))
+    docs = documents([(1, prose("aa", 60, rng), "bb"), (2, mix, "aa"), (3, prose("cc", 60, rng), None), (4, None, "aa"), (5, "12", "aa")])
+    assert {(r.doc_id, r.lang) for r in langid.accepted(docs, model).collect()} == {(1, "aa"), (3, "cc")}
+    assert {(r.doc_id, r.lang) for r in langid.accepted(docs, model, least=0.2).collect()} >= {(1, "aa"), (3, "cc")}
+    assert langid.accepted(docs, model, least=0.2).where("doc_id = 2").count() == 1
+    assert [r.doc_id for r in langid.accepted(docs, model, wanted=["aa"]).collect()] == [1]
+    assert langid.accepted(docs, model, wanted=[]).collect() == []
+    assert langid.accepted(docs.limit(0), model).collect() == []
+
+
+def test_pages_of_any_depth_parse_in_linear_time():
+    import time
+
+    def took(page):
+        start = time.process_time()
+        html_text.parse(page)
+        return time.process_time() - start
+
+    for piece, end in (("<div>x", ""), ("<b>x", "</i>" * 20_000), ("<ul><li>x", ""), ("<a>x<b>", "</a>" * 20_000), ("<div><p>x", "</div>" * 20_000)):
+        small, large = (min(took(piece * n + end) for _ in range(2)) for n in (5_000, 40_000))
+        assert large < 40 * small + 1, piece
+    nodes = html_text.parse("<div>x" * 1_000_000)
+    assert len(nodes) == 2_000_001
+
+
+def test_inline_elements_may_end_in_any_order():
+    nodes = html_text.parse("<p><a>one<b>two</a>three</b><p>four<a>five<div>six</a>seven</div>eight")
+    runs = [(n.text, n.link_chars) for n in nodes if n.tag == "#text"]
+    assert runs == [("onetwothree", 6), ("fourfive", 4), ("sixseven", 0), ("eight", 0)]
+
+
+def test_odd_pages(spark, odd_texts):
+    pages = spark.createDataFrame([(k, f"u{k}", t) for k, t in enumerate(odd_texts)], "page_id long, url string, html string")
+    pages = pages.union(spark.createDataFrame([(90, None, "<div>" * 50_000 + "deep"), (91, "u", "<p>" + "long words " * 100_000)], pages.schema))
+    found = html_text.extract(pages, html_text.fit(pages)).collect()
+    assert len(found) == len(odd_texts) + 2 and all(r.n_chars == len(r.text) for r in found)
+
+
 def test_no_labels_no_prediction(documents):
     empty = langid.fit(documents([(1, "text", None)]), F.lit(True))
     assert langid.predict(documents([(1, "text")]), empty).first().lang_pred == "und"
@@ -94,7 +190,7 @@ def test_no_labels_no_prediction(documents):
 
 def test_no_labels_keep_all_documents_with_letters(documents):
     docs = documents([(1, "text", None), (2, None, None), (3, "12 .", None), (4, "é", None), (None, "no id", None)])
-    kept = langid.known_only(docs, langid.fit(docs, F.lit(True)))
+    kept = langid.accepted(docs, langid.fit(docs, F.lit(True)))
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "4", "None"]
 
 
