@@ -1,7 +1,7 @@
 """The corpus pipeline: documents in, token ids of the documents worth training on out.
 
 Each stage takes what its predecessor kept, as a written table, and all but the last give rows of
-documents as they came.
+documents as they came, but for `lang`, which is the predicted language from the first stage on.
 """
 
 from __future__ import annotations
@@ -15,10 +15,13 @@ from silverlane.llm.queries import in_fold
 from silverlane.llm.store import pick, stored
 
 
-def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which no language can be told: null texts, and those without letters."""
+def one_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents of which one language has half of the words or more, and puts that language, as found, into `lang`.
+
+    Null texts go, those without letters, and mixtures in which no language reaches half.
+    """
     labelled = pick(docs, doc_id="doc_id", text="text", lang="lang")
-    return langid.known_only(docs, langid.fit(labelled, ~in_fold("doc_id", 2)))
+    return langid.accepted(docs, langid.fit(labelled, ~in_fold("doc_id", 2)))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +44,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("language ID", known_language),
+    ("language ID", one_language),
     ("SimHash near-dedup", without_near_copies),
     ("benchmark decontamination", without_benchmarks),
     ("BPE encoding and decoding", tokens),
