@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Channels that count as valid unless a caller names others.
-VALID_CHANNELS = ("app", "qr", "agent", "api")
+# The channels that count as valid unless a caller names others.
+VALID_CHANNELS = ("app", "qr", "corresponsal", "api")
 LAYERS = ("bronze", "silver", "gold")
 RISK_LEVELS = ("NORMAL", "MEDIUM", "CRITICAL")  # rising severity
 

@@ -122,7 +122,7 @@ def typed(spark, *rows):
 def test_a_violating_row_refuses_the_whole_write(spark, where, bad, name):
     good = typed(spark, GOOD)
     quality.enforce(good).write.parquet(where)
-    both = typed(spark, GOOD, changed(**({"ts": "2020-01-01T00:00:00"} | bad)))
+    both = typed(spark, GOOD, changed(**({"ts": "2023-11-05T17:20:00"} | bad)))
     with pytest.raises(Exception, match=name):
         quality.enforce(both).write.mode("append").parquet(where)
     assert spark.read.parquet(where).count() == 1
@@ -162,7 +162,7 @@ def test_clean_equals_the_plain_computation(spark, rows):
     for mode in ("reject", "keep"):
         valid = [
             r for r in rows
-            if r[0] is not None and r[2] is not None and r[2] > 0 and r[3] in ("app", "qr", "agent", "api")
+            if r[0] is not None and r[2] is not None and r[2] > 0 and r[3] in ("app", "qr", "corresponsal", "api")
             and (mode == "keep" or readable(r[6]))
         ]
         kept = {}

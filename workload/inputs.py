@@ -23,7 +23,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     channel = (
         F.when(F.col("event_type") == "view", "app")
         .when(F.col("event_type") == "click", "qr")
-        .when(F.col("event_type") == "signup", "agent")
+        .when(F.col("event_type") == "signup", "corresponsal")
         .when(F.col("event_type") == "purchase", "api")
         .otherwise("other")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from silverlane.functions.rules import table_constraints
 from silverlane.governance import audit as access
 from silverlane.governance import catalog, contract, security
-from silverlane.operators import detect, quality
+from silverlane.operators import detect, quality, sketches
 from silverlane.operators.skew import Share, split_by_share
 from silverlane.plans import evaluation, profiles
 from silverlane.plans.gold import gold_alerts as score
@@ -20,7 +21,7 @@ from silverlane.plans.gold import replace_gold
 from silverlane.plans.incremental import ScoreStore
 from silverlane.schema import CORRUPT, OTHER, TRANSACTION, VALID_CHANNELS
 from silverlane.scratch import run_dir
-from silverlane.sources import landing, tables, writes
+from silverlane.sources import footers, landing, tables, writes
 from silverlane.sources.evolving import EvolvingTable
 from silverlane.streaming.bronze import run_bronze
 from silverlane.streaming.silver import batch_metrics, run_silver
@@ -63,22 +64,23 @@ CONTRACT = contract.Contract(
     status="in use",
 )
 DOMAINS = {
-    "ledger": "What was booked, and when",
-    "watch": "What looks unusual in the books",
-    "people": "Who may read what",
-    "outlets": "Where bookings come from",
+    "ledger": "Transactions as landed and as cleaned",
+    "watch": "Scored transactions",
+    "people": "Group membership and what each group may read",
 }
 COLUMN_NOTES = {
-    "transaction_id": "Names one booking; no two rows share it",
-    "user_id": "Who booked",
-    "amount": "Positive, in the currency of the account",
-    "channel": "The kind of outlet, from a closed list",
-    "city": "Where the outlet stands",
-    "device": "Shown to privileged readers only",
-    "ts": "When it was booked",
-    "layer": "How far the row has come",
+    "transaction_id": "text; from the landed file; never null; one row each",
+    "user_id": "text; from the landed file; never null",
+    "amount": "currency units, above zero; from the landed file; never null",
+    "channel": "one of the valid channels; from the landed file; never null",
+    "city": "text; from the landed file; null if it was not sent",
+    "device": "text; from the landed file; null if it was not sent; masked for most readers",
+    "ts": "time in the zone of the session, parsed from text; never null",
+    "is_fraud": "true or false; set by the detectors, false until then; never null",
+    "processed_at": "time in the zone of the session; set when the row was cleaned; never null",
+    "layer": "bronze, silver or gold; set by the pipeline; never null; partitions the files",
 }
-TABLE_NOTE = "Bookings that passed all checks"
+TABLE_NOTE = "Transactions that the quality rules accept, one row each"
 
 
 def _second_load() -> Column:
@@ -466,6 +468,60 @@ def stream_batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return batch_metrics(_streamed(spark, sf)).agg(*sums)
 
 
+def stream_empty_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch of which no row is valid: nothing is written, but it is counted."""
+    source, root = run_dir(spark, "landing"), run_dir(spark, "stream")
+    landing.land(given.bronze(spark, sf).where("amount <= 0"), source)
+    table = writes.WrittenTable(spark, f"{root}/silver", TRANSACTION, table_constraints())
+    run_silver(landing.stream_landing(spark, source), table, f"{root}/checkpoint")
+    return batch_metrics(table).select("n_raw", "n_valid", "n_rejected", "n_inserted")
+
+
+def stream_replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """All landed files taken in again from the beginning, by a query that knows nothing of the first: no row comes twice."""
+    source, root = _landed(spark, sf), run_dir(spark, "stream")
+    table = writes.WrittenTable(spark, f"{root}/silver", TRANSACTION, table_constraints())
+    for checkpoint in ("first", "second"):
+        run_silver(landing.stream_landing(spark, source), table, f"{root}/{checkpoint}")
+    return _shown(table.read(), [*ROW, "layer", "is_fraud"])
+
+
+def refused_writes(spark: SparkSession, sf: str) -> DataFrame:
+    """Writes with a row that violates a constraint are refused whole: the rows stored after each attempt."""
+    rows = given.silver(spark, sf).withColumn("processed_at", F.current_timestamp())
+    rows = rows.withColumns({"source_file": F.lit(None).cast("string"), "ingested_at": F.current_timestamp()})
+    odd, even = rows.where("event_id % 2 = 1"), rows.where("event_id % 2 = 0")
+    table = writes.WrittenTable(spark, run_dir(spark, "refused"), TRANSACTION, table_constraints())
+    one = F.col("event_id") % 101 == 1
+    attempts = {
+        "even rows": even,
+        "negative amounts": odd.withColumn("amount", F.when(one, -F.col("amount")).otherwise(F.col("amount"))),
+        "foreign channel": odd.withColumn("channel", F.when(one, "pigeon").otherwise(F.col("channel"))),
+        "odd rows": odd,
+    }
+    told = []
+    for name, batch in attempts.items():
+        try:
+            table.write(batch, name)
+            refused = False
+        except SparkRuntimeException:
+            refused = True
+        told.append((name, refused, table.read().count()))
+    return spark.createDataFrame(told, "attempt string, refused boolean, n_rows long")
+
+
+def landing_partly_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by day folder, of which one has not landed yet."""
+    path = run_dir(spark, "landing")
+    rows = given.raw(spark, sf)
+    for day in (0, 2):
+        landing.land(rows.where(F.col("event_id") % 3 == day).drop("event_id"), f"{path}/day-{day}")
+    read = [landing.read_landing(spark, f"{path}/day-{day}").withColumn("day", F.lit(day)) for day in range(3)]
+    found = read[0].unionByName(read[1]).unionByName(read[2])
+    days = spark.range(3).select(F.col("id").cast("int").alias("day"))
+    return days.join(found, "day", "left").groupBy("day").agg(F.count("transaction_id").alias("n_rows"))
+
+
 def silver_scan(spark: SparkSession, sf: str) -> DataFrame:
     name, path = _table(spark, "ledger", "transactions")
     tables.overwrite_table(given.layered(spark, sf).drop("event_id"), name, path)
@@ -517,6 +573,38 @@ def snapshot_asof_time(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(rows, ["transaction_id", "user_id", "amount", "channel", "ts"])
 
 
+def _by_write(spark: SparkSession, sf: str) -> DataFrame:
+    first = F.col("ts") < _second_load()
+    return given.silver(spark, sf).withColumn("load", F.when(first, FIRST_LOAD).otherwise(SECOND_LOAD))
+
+
+def percentiles_by_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Median and 95th percentile by channel from sketches kept by write, held against the exact ranks."""
+    rows, path, wanted = _by_write(spark, sf), run_dir(spark, "sketches"), {"median": 0.5, "p95": 0.95}
+    sketches.amount_sketches(rows, "load", "channel").write.parquet(path)
+    found = sketches.quantiles_of(spark.read.parquet(path), "channel", wanted)
+    errors = sketches.rank_errors(rows, found, "channel", wanted)
+    within = [(F.col(name) <= sketches.RANK_ERROR).alias(f"{name}_within") for name in wanted]
+    return errors.select("channel", "total", *within)
+
+
+def users_by_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Users of either, both or only one of two loads, from sketches kept by write."""
+    path = run_dir(spark, "sketches")
+    rows = _by_write(spark, sf).where((F.col("load") == FIRST_LOAD) | (F.col("event_id") % 5 == 0))
+    sketches.distinct_sketches(rows, "user_id", "load").write.parquet(path)
+    return sketches.compare_sets(spark.read.parquet(path), "load", FIRST_LOAD, SECOND_LOAD)
+
+
+def layer_file_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and bounds of each layer from the footers of its files."""
+    path = run_dir(spark, "layers")
+    given.layered(spark, sf).drop("event_id").write.partitionBy("layer").parquet(path)
+    stats = footers.layer_file_stats(spark, path, ["amount"])
+    filled = (F.col("n_files") > 0) & (F.col("total_bytes") > 0) & F.col("last_modified").isNotNull()
+    return stats.select("layer", "n_rows", "min_amount", "max_amount", filled.alias("has_files"))
+
+
 def write_history(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(writes.history(_loads(spark, sf)))
 
@@ -555,6 +643,24 @@ def contract_table(spark: SparkSession, sf: str) -> DataFrame:
     return contract.read_contract(spark, table).withColumn("covered_rows", covered)
 
 
+def table_comment(spark: SparkSession, sf: str) -> DataFrame:
+    """What the catalog says of the product, and the rows it is said of."""
+    _, table = _product(spark, sf)
+    said = F.lit(catalog.describe(spark, table).get("comment"))
+    return spark.table(table).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("comment", said)
+
+
+def schemas_after_reset(spark: SparkSession, sf: str) -> DataFrame:
+    """The schemas of a run with their comments, and which are left when all but one are reset."""
+    names, _ = _product(spark, sf)
+    made = catalog.schemas_table(spark).where(F.col("schema").isin(*names.values()))
+    listed = {r["schema"]: r["description"] for r in made.collect()}
+    catalog.reset(spark, [name for domain, name in names.items() if domain != "people"])
+    left = {r["schema"] for r in catalog.schemas_table(spark).collect()}
+    told = [(domain, listed.get(name), name in left) for domain, name in names.items()]
+    return spark.createDataFrame(told, "schema string, description string, left_over boolean")
+
+
 def column_documentation(spark: SparkSession, sf: str) -> DataFrame:
     """The note of each column, and how many distinct values its rows hold (0 for the time of the run)."""
     _, table = _product(spark, sf)
@@ -705,6 +811,15 @@ ALL = (
     bronze_schema_evolution,
     gold_incremental,
     stream_batch_metrics,
+    stream_empty_batch,
+    stream_replayed,
+    refused_writes,
+    landing_partly_missing,
+    percentiles_by_sketch,
+    users_by_write,
+    layer_file_stats,
+    table_comment,
+    schemas_after_reset,
     silver_scan,
     table_append,
     snapshot_compare,
