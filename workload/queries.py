@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from silverlane.functions.rules import table_constraints
 from silverlane.governance import audit as access
 from silverlane.governance import catalog, contract, security
-from silverlane.operators import detect, quality, sketches
+from silverlane.operators import compat, detect, quality, sketches
 from silverlane.operators.skew import Share, split_by_share
 from silverlane.plans import evaluation, profiles
 from silverlane.plans.gold import gold_alerts as score
@@ -21,10 +21,11 @@ from silverlane.plans.gold import replace_gold
 from silverlane.plans.incremental import ScoreStore
 from silverlane.schema import CORRUPT, OTHER, TRANSACTION, VALID_CHANNELS
 from silverlane.scratch import run_dir
-from silverlane.sources import footers, landing, tables, writes
+from silverlane.sources import compaction, footers, landing, tables, writes
 from silverlane.sources.evolving import EvolvingTable
 from silverlane.streaming.bronze import run_bronze
-from silverlane.streaming.silver import batch_metrics, run_silver
+from silverlane.streaming.progress import ProgressLog, backlog
+from silverlane.streaming.silver import batch_metrics, run_silver, start_silver
 from workload import inputs as given
 from workload.inputs import MAX_TX, WINDOW_S, Z
 
@@ -468,6 +469,35 @@ def stream_batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return batch_metrics(_streamed(spark, sf)).agg(*sums)
 
 
+def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """What a listener kept of every batch, held against what the batches counted themselves."""
+    source, root = _landed(spark, sf), run_dir(spark, "stream")
+    table = writes.WrittenTable(spark, f"{root}/silver", TRANSACTION, table_constraints())
+    log = ProgressLog(spark, f"{root}/progress")
+    spark.streams.addListener(log)
+    try:
+        stream = landing.stream_landing(spark, source, saved_at=f"{root}/schema", max_files_per_trigger=5)
+        query = start_silver(stream, table, f"{root}/checkpoint")
+        query.awaitTermination()
+        log.wait_for(query)
+    finally:
+        spark.streams.removeListener(log)
+    kept = log.read().where("n_input > 0")
+    seen = kept.agg(
+        F.sum("n_input").alias("n_input"),
+        (F.count(F.lit(1)) == F.countDistinct("batch_id")).alias("once_a_batch"),
+        F.every((F.col("rows_per_s") > 0) & (F.col("duration_ms") > 0)).alias("timed"),
+        F.count(F.lit(1)).alias("n_batches"),
+    )
+    counted = batch_metrics(table).agg(F.sum("n_raw").alias("n_raw"), F.count(F.lit(1)).alias("n_counted"))
+    taken = backlog(spark, source, f"{root}/checkpoint")
+    left = taken.agg(F.min_by("files_left", F.coalesce("batch_id", F.lit(-1))).alias("first"), F.max_by("files_left", "batch_id").alias("at_end"))
+    same = (F.col("n_batches") == F.col("n_counted")).alias("all_batches")
+    shrinks = (F.col("first") > F.col("at_end")) | (F.col("n_batches") == 1)
+    shown = seen.join(counted, F.lit(True)).join(left, F.lit(True))
+    return shown.select("n_input", "n_raw", "once_a_batch", "timed", same, shrinks.alias("backlog_shrinks"), F.col("at_end").alias("backlog_at_end"))
+
+
 def stream_empty_batch(spark: SparkSession, sf: str) -> DataFrame:
     """A batch of which no row is valid: nothing is written, but it is counted."""
     source, root = run_dir(spark, "landing"), run_dir(spark, "stream")
@@ -605,6 +635,48 @@ def layer_file_stats(spark: SparkSession, sf: str) -> DataFrame:
     return stats.select("layer", "n_rows", "min_amount", "max_amount", filled.alias("has_files"))
 
 
+def compaction_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of many small files rewritten to fewer larger ones: what must hold of the plan, and the rows afterwards."""
+    path, folder = run_dir(spark, "small-files"), run_dir(spark, "compacted")
+    rows = given.layered(spark, sf).drop("event_id").withColumn("slice", F.pmod(F.xxhash64("transaction_id"), F.lit(24)))
+    rows.repartitionById(24, F.col("slice").cast("int")).drop("slice").write.partitionBy("layer").parquet(path)
+    target = 5 * compaction.stored_files(spark, path).agg(F.max("size").alias("largest")).first().largest
+    plan = compaction.compact(spark, path, folder, target, part_files=16)
+    bins = plan.groupBy("layer", "bin").agg(F.sum("size").alias("held"), F.max("size").alias("largest"))
+    packed = bins.groupBy("layer").agg(
+        F.every(F.col("held") <= target).alias("none_over"),
+        # First fit fills all bins of a part but the last by more than the target less one file; parts are some 16 files.
+        (F.count(F.lit(1)) <= F.sum("held") / (target - F.max("largest")) + 3).alias("well_filled"),
+        F.count(F.lit(1)).alias("n_bins"),
+    )
+    files = compaction.stored_files(spark, f"{folder}/rows").groupBy("layer").agg(F.count(F.lit(1)).alias("n_files"))
+    written = spark.read.parquet(f"{folder}/rows").groupBy("layer").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("transaction_id").alias("n_ids"),
+        F.min("amount").alias("min_amount"),
+        F.max("amount").alias("max_amount"),
+    )
+    a_file_each = (F.col("n_files") == F.col("n_bins")).alias("a_file_each")
+    found = packed.join(files, "layer").join(written, "layer")
+    return found.select("layer", "none_over", "well_filled", a_file_each, "n_rows", "n_ids", "min_amount", "max_amount")
+
+
+def schema_compat(spark: SparkSession, sf: str) -> DataFrame:
+    """The events, with nested columns made of them, held against a schema in which columns are cast, gone or new."""
+    e = given.events(spark, sf).withColumns(
+        {
+            "place": F.struct((F.col("user_id") % 10).alias("city"), (F.col("value") / 10).alias("area")),
+            "readings": F.array(F.struct("value"), F.struct(F.floor("value").cast("double").alias("value"))),
+            "tags": F.create_map("event_type", F.col("value")),
+        }
+    )
+    wanted = T._parse_datatype_string(
+        "event_id decimal(20,0), ts date, user_id int, value bigint, props string, source string, "
+        "place struct<city: double, zone: int>, readings array<struct<value: bigint>>, tags map<string, float>"
+    )
+    return compat.compatibility(e, wanted)
+
+
 def write_history(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(writes.history(_loads(spark, sf)))
 
@@ -811,6 +883,7 @@ ALL = (
     bronze_schema_evolution,
     gold_incremental,
     stream_batch_metrics,
+    stream_progress,
     stream_empty_batch,
     stream_replayed,
     refused_writes,
@@ -818,6 +891,8 @@ ALL = (
     percentiles_by_sketch,
     users_by_write,
     layer_file_stats,
+    compaction_plan,
+    schema_compat,
     table_comment,
     schemas_after_reset,
     silver_scan,
