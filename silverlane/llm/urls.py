@@ -52,8 +52,8 @@ class Rules:
         return spark.createDataFrame([(key,) for key in sorted(set(self.keys))], "key string")
 
     @cached_property
-    def _shapes(self) -> list[tuple[int, int]]:
-        """(labels of the host, length of the path), each pair that occurs once."""
+    def shapes(self) -> list[tuple[int, int]]:
+        """(labels of the host, length of the path) of the listed keys."""
         if isinstance(self.keys, DataFrame):
             host = F.substring_index("key", "/", 1)
             shapes = self.keys.select(F.size(F.split(host, r"\.")), F.length("key") - F.length(host))
@@ -61,26 +61,15 @@ class Rules:
         hosts = [(key, key.partition("/")[0]) for key in self.keys]
         return [(host.count(".") + 1, len(key) - len(host)) for key, host in hosts]
 
-    @property
-    def labels(self) -> list[int]:
-        """The numbers of labels that listed hosts have."""
-        return sorted({n for n, _ in self._shapes})
-
-    @property
-    def lengths(self) -> list[int]:
-        """The lengths that listed paths have."""
-        return sorted({size for _, size in self._shapes})
-
 
 def candidates(host: Column, path: Column, lists: Iterable[Rules]) -> Column:
-    """All keys a listed key that fits could be: ends of the host with starts of the path, each once."""
+    """All keys a listed key that fits could be: ends of the host with starts of the path, of the shapes that are listed, each once."""
     parts = F.split(host, r"\.")
     keys = []
-    for n in sorted({n for rules in lists for n in rules.labels}):
-        end = F.when(F.size(parts) >= n, F.array_join(F.slice(parts, -n, n), "."))
-        for size in sorted({size for rules in lists for size in rules.lengths}):
-            keys.append(F.when(F.length(path) >= size, F.concat(end, F.substring(path, 1, size))))
-    return F.array_distinct(F.array_compact(F.array(*keys)))
+    for n, size in sorted({shape for rules in lists for shape in rules.shapes}):
+        end = F.array_join(F.slice(parts, -n, n), ".")
+        keys.append(F.when((F.size(parts) >= n) & (F.length(path) >= size), F.concat(end, F.substring(path, 1, size))))
+    return F.array_distinct(F.array_compact(F.array(*keys).cast("array<string>")))
 
 
 def _bits(key: Column, level: int, log_bits: int) -> list[Column]:
@@ -158,7 +147,8 @@ def judge(
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict) for each row.
 
-    Of the rules that fit a url the longest decides; one that is listed both ways blocks. Where none
+    Of the rules that fit a url the longest decides; of several of one length one that blocks, and of those the greatest
+    by code points; a rule that is listed both ways blocks. Where none
     fits, the verdict is block if the host or a domain above it is in `blocked_hosts`, else allow; a long list of
     hosts is better a table with a column `key`.
     A null url, or one without `://`, has an empty host and path, fits no rule and is allowed.
@@ -171,7 +161,7 @@ def judge(
     corpus = stored(rows.select(F.explode(keys).alias("key")).distinct(), "url-keys")
     has = {name: build(stored(key_universe(pages.sparkSession, corpus, rules), "universe")).has for name, rules in lists.items()}
     fitting = F.filter("keys", lambda key: has["allow"](key) | has["block"](key))
-    longest = F.array_max(F.transform(fitting, lambda key: F.struct(F.length(key).alias("n"), key.alias("key"))))
+    longest = F.array_max(F.transform(fitting, lambda key: F.struct(F.length(key).alias("n"), has["block"](key).alias("blocks"), key.alias("key"))))
     verdict = F.when(F.col("rule").isNull(), F.exists("keys", lambda key: has["hosts"](key))).otherwise(has["block"](F.col("rule")))
     return (
         rows.withColumn("keys", keys)
@@ -195,7 +185,7 @@ urls AS (
     coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
   FROM pages),
 fits AS (
-  SELECT page_id, rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, verdict DESC) AS k
+  SELECT page_id, rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, verdict DESC, rule DESC) AS k
   FROM urls, rules
   WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
 bad AS (SELECT DISTINCT page_id FROM urls, blocked WHERE host = name OR ends_with(host, '.' || name))

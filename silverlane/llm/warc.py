@@ -83,6 +83,15 @@ def merged_headers(response: Column, revisit: Column) -> Column:
     return F.array_sort(F.concat(F.filter(response, lambda e: ~F.array_contains(names, e["key"])), news))
 
 
+def by_url_and_time(keyed: DataFrame) -> DataFrame:
+    """The records in ranges of (url, time), with the number of the range.
+
+    Records without url or time, which find no response, are dealt by their ids, so that any number of them is no one task's work.
+    """
+    adrift = F.when(F.col("url_key").isNull() | F.col("ts").isNull(), F.xxhash64("record_id"))
+    return keyed.repartitionByRange("url_key", "ts", adrift).withColumn("part", F.spark_partition_id())
+
+
 def resolve_revisits(
     records: DataFrame,
     record_id: str = "record_id",
@@ -109,8 +118,7 @@ def resolve_revisits(
         (F.col("kind") == "response").alias("full"),
         header_list("headers").alias("headers"),
     )
-    dealt = keyed.repartitionByRange("url_key", "ts").withColumn("part", F.spark_partition_id())
-    dealt = stored(dealt, "captures")
+    dealt = stored(by_url_and_time(keyed), "captures")
     response = F.when(F.col("full") & F.col("ts").isNotNull(), F.struct("ts", "record_id", "headers"))
 
     ends = dealt.groupBy("part").agg(F.min("url_key").alias("low"), F.max("url_key").alias("high"))

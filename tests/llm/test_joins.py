@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,9 +86,9 @@ def slow_judge(url):
     for key in (*ALLOW, *BLOCK):
         name = key.partition("/")[0]
         if (host == name or host.endswith("." + name)) and path.startswith(key[len(name) :]):
-            fits.append((len(key), key))
+            fits.append((len(key), key in BLOCK, key))
     if fits:
-        rule = max(fits)[1]
+        rule = max(fits)[2]
         return host, path, rule, "block" if rule in BLOCK else "allow"
     bad = any(host == h or host.endswith("." + h) for h in HOSTS)
     return host, path, None, "block" if bad else "allow"
@@ -106,6 +107,30 @@ def test_url_rules(spark):
     assert urls.judge(pages.limit(0), ALLOW, BLOCK, HOSTS).collect() == []
 
 
+def test_rules_of_one_length_and_shapes_that_occur(spark):
+    allow, block = ("b.org/xy", "q.net", "b.org/x/z", "same.io/"), ("a.b.org/", "p.q.net/long/path/", "same.io/", "z.b.org/")
+    found = ["http://a.b.org/xyz", "http://z.b.org/x/z", "http://a.b.org/q", "http://b.org/xy", "http://p.q.net/long", "http://p.q.net/long/path/1", "http://same.io/"]
+    pages = spark.createDataFrame(list(enumerate(found)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge(pages, allow, block, []).collect()}
+    assert got == {
+        0: ("a.b.org/", "block"),  # b.org/xy is as long and allows
+        1: ("b.org/x/z", "allow"),
+        2: ("a.b.org/", "block"),
+        3: ("b.org/xy", "allow"),
+        4: ("q.net", "allow"),
+        5: ("p.q.net/long/path/", "block"),
+        6: ("same.io/", "block"),
+    }
+    sql = urls.sql(allow, block, ["none.such"])
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages(page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", list(enumerate(found)))
+    assert {r[0]: (r[3], r[4]) for r in con.execute(sql).fetchall()} == got
+    assert urls.Rules.of(allow).shapes != [] and len({*urls.Rules.of(allow).shapes, *urls.Rules.of(block).shapes}) == 6
+    bare = urls.judge(pages, [], [], []).collect()
+    assert {(r.rule, r.verdict) for r in bare} == {(None, "allow")}
+
+
 def test_blocked_hosts_from_a_table(spark):
     hosts = [*HOSTS, *HOSTS, None, *[f"h{k}.some.io" for k in range(3000)]]
     listed = spark.createDataFrame([(0, h) for h in hosts], "n int, key string")
@@ -191,6 +216,20 @@ def test_revisits(spark):
     assert warc.resolve_revisits(records.limit(0)).collect() == []
 
 
+def test_records_without_url_or_time_are_dealt_out(spark):
+    keyed = spark.range(8_000).select(
+        F.concat(F.lit("n"), F.col("id")).alias("record_id"),
+        F.when(F.col("id") % 2 == 0, F.lit("http://hot.org/")).alias("url_key"),
+        F.lit(None).cast("long").alias("ts"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in warc.by_url_and_time(keyed).groupBy("part").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 8_000 and max(sizes) < 2_000
+
+
 def test_a_url_over_many_ranges(spark):
     """One url holds most records, spread over several partitions; its revisits find responses of earlier ones."""
     records = spark.range(0, 4000, 1, 8).select(
