@@ -1,14 +1,14 @@
 """Approximate nearest neighbours with a permutation index.
 
-Every vector is represented by its nearest pivots in order of distance, and is posted, with the place
-of the pivot in that order, in the inverted file of each of them. A query adds up over the files of its own
-nearest pivots how far each vector's order is from its own (Spearman's footrule, where a pivot that
-is not among the nearest counts as the first place behind them), and the vectors of least footrule
-are ranked again by exact distance.
-
-The index is dealt by vector into blocks of bounded size, each with its own inverted files; a block meets
-one bounded block of queries at a time. Copies of a vector are one entry, which keeps as many of the
-smallest ids as a result can need, so a vector that is there a million times is no larger than another.
+Every vector is represented by its nearest pivots in order of distance, and is posted in the inverted file
+of each of them. A query visits the files of its own nearest pivots only. What it finds there is ranked by how
+far its order is from the query's (Spearman's footrule, where a pivot that is not among the nearest counts
+as the first place behind them), and the vectors of least footrule are ranked again by exact distance.
+
+The index is dealt by vector into blocks of bounded size, each with its own inverted files. A vector is shuffled
+once; queries are streamed through the blocks, of which each is held by one task at a time. Copies of a vector
+are one entry, which keeps as many of the smallest ids as a result can need, so a vector that is there a
+million times is no larger than another.
 """
 
 from __future__ import annotations
@@ -17,21 +17,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from silverlane.llm.store import pick, stored
 
-#: Pivots, taken from the vectors by hash (all, if there are fewer), and how many represent a vector.
-PIVOTS = 256
-NEAREST = 192
-#: Share of a block that is ranked by exact distance, and at least so many.
+#: Pivots, taken from the vectors by hash (all, if there are fewer), how many represent a vector, and
+#: in the files of how many of its own a query looks.
+PIVOTS = 1024
+NEAREST = 64
+FILES = 16
+#: Share of the vectors visited that is ranked by exact distance, at least so many, and all up to this share of the greatest footrule.
 RANKED_SHARE = 0.3
 RANKED_LEAST = 500
-#: Vectors and queries of a block.
+RANKED_FOOTRULE = 0.5
+#: Vectors of a block.
 BLOCK = 16_384
-QUERY_BLOCK = 4_096
 
 
 def usable(vector: str) -> Column:
@@ -47,33 +50,48 @@ def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def orders(vectors: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
     """The nearest pivots of each vector, nearest first; ties to the pivot that comes first."""
-    out = np.empty((len(vectors), min(nearest, len(pivots))), np.int16)
+    nearest = min(nearest, len(pivots))
+    out = np.empty((len(vectors), nearest), np.int16)
     for k in range(0, len(vectors), 4096):
-        out[k : k + 4096] = np.argsort(squared_distances(vectors[k : k + 4096], pivots), axis=1, kind="stable")[:, :nearest]
+        far = squared_distances(vectors[k : k + 4096], pivots)
+        some = np.sort(np.argpartition(far, nearest - 1, axis=1)[:, :nearest], axis=1)
+        sorted_ = np.argsort(np.take_along_axis(far, some, axis=1), axis=1, kind="stable")
+        out[k : k + 4096] = np.take_along_axis(some, sorted_, axis=1)
     return out
 
 
 class InvertedFiles:
-    """For each pivot its place in the order of every vector of a block, `width` if it is not among the nearest.
-
-    A vector is in the files of most pivots, so a file has a place for each instead of a list of those in it.
-    """
+    """For each pivot the vectors of a block that have it among their nearest."""
 
     def __init__(self, orders: np.ndarray, n_pivots: int):
+        self.orders = orders
         self.n, self.width = orders.shape
-        places = np.full((self.n, n_pivots), self.width, np.int16)
-        np.put_along_axis(places, orders, np.arange(self.width, dtype=np.int16)[None, :], axis=1)
-        self.files = np.ascontiguousarray(places.T)
-
-    def footrule(self, order: np.ndarray) -> np.ndarray:
-        """The footrule distance of each vector to a query of this order, less a constant.
-
-        What a vector's other pivots add is the same for all, but for those that are in the query's files.
-        """
-        total = np.zeros(self.n, np.int32)
+        self.n_pivots = n_pivots
+        flat = orders.ravel()
+        by_pivot = np.argsort(flat, kind="stable")
+        self.posted = (by_pivot // self.width).astype(np.int32)
+        self.starts = np.searchsorted(flat[by_pivot], np.arange(n_pivots + 1))
+
+    def visit(self, order: np.ndarray, files: int, least: int) -> np.ndarray:
+        """The vectors in the files of a query's nearest pivots: the first `files`, and more if there are not `least` in them."""
+        seen = np.zeros(self.n, bool)
         for at, pivot in enumerate(order.tolist()):
-            total += np.abs(self.files[pivot] - np.int16(at)) + self.files[pivot]
-        return total
+            if at >= files and np.count_nonzero(seen) >= least:
+                break
+            seen[self.posted[self.starts[pivot] : self.starts[pivot + 1]]] = True
+        else:
+            if np.count_nonzero(seen) < least:
+                seen[:] = True
+        return np.flatnonzero(seen)
+
+    def footrule(self, order: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The footrule distance of these vectors to a query of this order, as a share of the greatest there is."""
+        place = np.full(self.n_pivots, self.width, np.int32)
+        place[order] = np.arange(self.width)
+        own = place[self.orders[at]]
+        of_theirs = np.abs(own - np.arange(self.width)).sum(axis=1)
+        of_query_alone = self.width * (self.width + 1) // 2 - (self.width - own).sum(axis=1)
+        return (of_theirs + of_query_alone) / (self.width * (self.width + 1))
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, dtype: type) -> np.ndarray:
@@ -83,6 +101,40 @@ def matrix(column: pa.ChunkedArray | pa.Array, dtype: type) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
+class Block:
+    """The vectors of a block with their inverted files."""
+
+    def __init__(self, rows: pa.Table, n_pivots: int):
+        self.vectors = matrix(rows.column("vector"), np.float64)
+        self.ids = rows.column("ids").combine_chunks()
+        self.least_id = pc.list_element(self.ids, 0).to_numpy(zero_copy_only=False)
+        self.files = InvertedFiles(matrix(rows.column("order"), np.int64), n_pivots)
+
+    def answers(
+        self, asked: pa.RecordBatch, k: int, files: int, ranked_share: float, ranked_least: int, ranked_footrule: float
+    ) -> pa.RecordBatch:
+        """(vector, ids, score): the `k` nearest found for each query."""
+        rows, hits, scores = [], [], []
+        queries = zip(matrix(asked.column("vector"), np.float64), matrix(asked.column("order"), np.int64))
+        for row, (vector, order) in enumerate(queries):
+            near = self.files.visit(order, files, ranked_least)
+            far = self.files.footrule(order, near)
+            most = max(ranked_least, int(len(near) * ranked_share), np.count_nonzero(far <= ranked_footrule))
+            if most < len(near):
+                near = near[np.argpartition(far, most - 1)[:most]]
+            exact = np.sqrt(((self.vectors[near] - vector) ** 2).sum(axis=1))
+            best = np.lexsort((self.least_id[near], exact))[:k]
+            rows.append(np.full(len(best), row))
+            hits.append(near[best])
+            scores.append(exact[best])
+        columns = [
+            asked.column("vector").take(pa.array(np.concatenate(rows))),
+            self.ids.take(pa.array(np.concatenate(hits))),
+            pa.array(np.concatenate(scores)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["vector", "ids", "score"])
+
+
 def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
     """(vector, ids): each vector once, with its `keep` smallest ids in order."""
     ranked = rows.distinct().withColumn("k", F.row_number().over(Window.partitionBy("vector").orderBy("id")))
@@ -101,7 +153,8 @@ def nearest_neighbours(
     ranked_share: float = RANKED_SHARE,
     ranked_least: int = RANKED_LEAST,
     block: int = BLOCK,
-    query_block: int = QUERY_BLOCK,
+    files: int = FILES,
+    ranked_footrule: float = RANKED_FOOTRULE,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the `k` nearest vectors found for each query, other than itself.
 
@@ -142,43 +195,39 @@ def nearest_neighbours(
         return df.mapInArrow(represent, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema) + ", order array<smallint>")
 
     asked_once = stored(asked.select("vector").distinct().withColumn("n", F.size("vector")), "queries")
-    n_query_blocks = max(1, -(-asked_once.count() // query_block))
-    posted = (
-        represented(entries)
-        .withColumn("block", F.pmod(F.xxhash64("vector"), blocks))
-        .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1))))
-    )
+    held = [F.col(c) for c in ("n", "block", "asks", "vector", "ids", "order")]
+    posted = represented(entries).withColumns({"block": F.pmod(F.xxhash64("vector"), blocks), "asks": F.lit(False)}).select(*held)
     sent = (
         represented(asked_once.where(blocks > 0))
-        .withColumn("query_block", F.pmod(F.xxhash64(F.lit(1), "vector"), F.lit(n_query_blocks)).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
+        .withColumns({"asks": F.lit(True), "ids": F.lit(None).cast(f"array<{id_type}>")})
+        .select(*held)
     )
+    found_kinds = f"vector array<double>, ids array<{id_type}>, score double"
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks one after the other, of each first the vectors and then the queries, which are answered as they come."""
+        block_now, parts, searched = None, [], None
+        for batch in batches:
+            n, dealt, asks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "block", "asks"))
+            cuts = np.flatnonzero((np.diff(n) != 0) | (np.diff(dealt) != 0) | (np.diff(asks.astype(np.int8)) != 0)) + 1
+            ends = [0, *cuts.tolist(), len(n)] if len(n) else []
+            for low, high in zip(ends, ends[1:]):
+                piece, at = batch.slice(low, high - low), (n[low], dealt[low])
+                if at != block_now:
+                    block_now, parts, searched = at, [], None
+                if not asks[low]:
+                    parts.append(piece)
+                elif parts:
+                    if searched is None:
+                        searched = Block(pa.Table.from_batches(parts), pivots)
+                    yield searched.answers(piece, k + 1, files, ranked_share, ranked_least, ranked_footrule)
 
-    def find(left: pa.Table, right: pa.Table) -> pa.Table:
-        query, ids, scores = [], [], []
-        if len(left) and len(right):
-            own, others = matrix(left.column("vector"), np.float64), matrix(right.column("vector"), np.float64)
-            files = InvertedFiles(matrix(left.column("order"), np.int64), pivots)
-            listed = left.column("ids").to_pylist()
-            least_id = np.array([x[0] for x in listed])
-            most = min(len(own), max(ranked_least, int(len(own) * ranked_share)))
-            for vector, order, text in zip(others, matrix(right.column("order"), np.int64), right.column("vector").to_pylist()):
-                near = np.argpartition(files.footrule(order), most - 1)[:most]
-                exact = np.sqrt(((own[near] - vector) ** 2).sum(axis=1))
-                best = np.lexsort((least_id[near], exact))[: k + 1]
-                for at, score in zip(near[best].tolist(), exact[best].tolist()):
-                    query.append(text)
-                    ids.append(listed[at])
-                    scores.append(score)
-        kinds = right.schema.field("vector").type, left.schema.field("ids").type, pa.float64()
-        return pa.table({n: pa.array(c, t) for n, c, t in zip(("vector", "ids", "score"), (query, ids, scores), kinds)})
-
-    keys = ["n", "block", "query_block"]
     found = (
-        posted.select(*keys, "vector", "ids", "order")
-        .groupBy(*keys)
-        .cogroup(sent.select(*keys, "vector", "order").groupBy(*keys))
-        .applyInArrow(find, f"vector array<double>, ids array<{id_type}>, score double")
+        posted.union(sent)
+        .repartition("n", "block")
+        .sortWithinPartitions("n", "block", "asks")
+        .mapInArrow(find, found_kinds)
         .select("vector", "score", F.explode("ids").alias("id"))
     )
     ranked = found.withColumn("k", F.row_number().over(Window.partitionBy("vector").orderBy("score", "id")))

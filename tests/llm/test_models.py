@@ -324,8 +324,8 @@ def test_neighbours_reach_the_recall(spark):
     data = np.float32(centres[rng.integers(0, 6, 3000)] + 0.6 * rng.normal(size=(3000, 16)))
     table = vectors(spark, [(k, v.tolist(), 0) for k, v in enumerate(data)])
     exact = data.astype(float)
-    for block, query_block in ((16_384, 4096), (700, 20)):
-        got = permutation_index.nearest_neighbours(table, table.where("vec_id % 60 = 0"), block=block, query_block=query_block).collect()
+    for block, least in ((16_384, 500), (700, 100)):
+        got = permutation_index.nearest_neighbours(table, table.where("vec_id % 60 = 0"), block=block, ranked_least=least).collect()
         found: dict = {}
         for r in got:
             found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
@@ -340,6 +340,40 @@ def test_neighbours_reach_the_recall(spark):
         assert len(found) == 50 and hits >= 0.9 * 500
 
 
+def test_inverted_files_and_footrule_equal_the_definition():
+    rng = np.random.default_rng(9)
+    data, pivots = rng.normal(size=(300, 5)), rng.normal(size=(40, 5))
+    made = permutation_index.orders(data, pivots, 8)
+    far = ((data[:, None, :] - pivots[None]) ** 2).sum(axis=2)
+    assert (made == np.argsort(far, axis=1, kind="stable")[:, :8]).all()
+    files = permutation_index.InvertedFiles(made.astype(np.int64), 40)
+    query = made[0].astype(np.int64)
+    visited = files.visit(query, 3, 1)
+    assert set(visited) == {v for v in range(300) if set(made[v]) & set(query[:3].tolist())} and 0 < len(visited) < 300
+    assert len(files.visit(query, 3, len(visited) + 1)) > len(visited) and len(files.visit(query, 3, 300)) == 300
+
+    def place(order, pivot):
+        return order.index(pivot) if pivot in order else 8
+
+    for v, got in zip(visited, files.footrule(query, visited)):
+        a, b = made[v].tolist(), query.tolist()
+        assert got == pytest.approx(sum(abs(place(a, p) - place(b, p)) for p in range(40)) / 72)
+
+
+def test_a_large_group_of_near_copies_is_ranked_whole(spark):
+    rng = np.random.default_rng(6)
+    group = rng.normal(size=16) + 1e-3 * rng.normal(size=(900, 16))
+    data = np.float32(np.concatenate([group, rng.normal(size=(1800, 16))]))
+    table = vectors(spark, [(k, v.tolist(), 0) for k, v in enumerate(data)])
+    got = permutation_index.nearest_neighbours(table, table.where("vec_id % 90 = 0"), ranked_least=50).collect()
+    exact, hits = data.astype(float), 0
+    for q in range(0, 2700, 90):
+        distance = np.sqrt(((exact - exact[q]) ** 2).sum(axis=1))
+        distance[q] = np.inf
+        hits += len(set(np.lexsort((np.arange(2700), distance))[:10]) & {r.vec_id for r in got if r.query_id == q})
+    assert hits >= 0.9 * 300
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(k, [1.0, 2.0], 0) for k in range(30)] + [(40, [1.0, 3.0], 0), (41, [0.5, 2.0], 0), (41, [0.5, 2.0], 0), (42, [1.0, 2.0, 3.0], 0)]
