@@ -29,15 +29,18 @@ def parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows of lines of JSON, with the columns that say what did not fit and where each row came from.
 
     A line that is not JSON is kept whole in the corrupt-record column. Fields the schema does not have are
-    kept as JSON in one text column. The fraud label is unknown at this point.
+    kept as JSON in one text column; only lines with more names (a quote and a colon) than known fields found
+    are parsed again for them. The fraud label is unknown at this point.
     """
     names = [n for n in schema.names if n not in (CORRUPT, OTHER)]
     fields = T.StructType([*(schema[n] for n in names), T.StructField(CORRUPT, T.StringType())])
     row = F.from_json("value", fields, {"columnNameOfCorruptRecord": CORRUPT})
     rest = F.map_filter(F.from_json("value", "map<string,string>"), lambda name, _: ~name.isin(*names))
+    found = F.array_size(F.array_compact(F.array(*[F.when(row[n].isNotNull(), 1) for n in names])))
+    more = F.regexp_count("value", F.lit(r"""["']\s*:""")) > found
     return lines.where(F.trim("value") != "").select(
         *[row[n].alias(n) for n in [*names, CORRUPT]],
-        F.when(F.size(rest) > 0, F.to_json(rest)).alias(OTHER),
+        F.when(more, F.when(F.size(rest) > 0, F.to_json(rest))).alias(OTHER),
         F.col("_metadata.file_path").alias("source_file"),
         F.current_timestamp().alias("ingested_at"),
         F.lit("bronze").alias("layer"),

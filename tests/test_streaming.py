@@ -188,6 +188,28 @@ def test_unknown_fields_are_kept(spark, where):
     assert rows["b"]["_other_fields"] is None and rows[None]["_corrupt_record"] == "[1"
 
 
+@pytest.mark.parametrize(
+    "line, other",
+    [
+        ('{"transaction_id": "a", "amount": 1}', None),
+        ('{"transaction_id": "a", "city": null}', None),
+        ('{"transaction_id": "a", "city": "x\\":y", "ts": "2024-01-01T10:00:00"}', None),
+        ('{"transaction_id": "a", "transaction_id": "b"}', None),
+        ('{"transaction_id": null, "new": 1}', {"new": "1"}),
+        ('{"new" : 1}', {"new": "1"}),
+        ("{'transaction_id': 'a', 'new'\t: 'x'}", {"new": "x"}),
+        ('{"transaction_id": {"deep": 1}, "": 2}', {"": "2"}),
+        ('{"Amount": 2, "amount": "no number"}', {"Amount": "2"}),
+        ("no json", None),
+        ("3", None),
+    ],
+)
+def test_lines_are_parsed_again_only_for_fields_the_schema_does_not_have(spark, where, line, other):
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(f"{where}/in")
+    (row,) = landing.read_landing(spark, f"{where}/in").collect()
+    assert (row["_other_fields"] and json.loads(row["_other_fields"])) == other
+
+
 def test_a_stream_uses_the_saved_schema(spark, where):
     land(spark, f"{where}/in", ("a", 1.0))
     first = landing.stream_landing(spark, f"{where}/in", saved_at=f"{where}/schema")
