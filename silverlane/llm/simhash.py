@@ -2,8 +2,9 @@
 
 Distinct fingerprints are dealt to shards by the upper levels of a vantage-point tree. A fingerprint
 has one home shard, and also visits the shards that its ball of the linking distance may overlap
-(of two shards only one visits the other). In a shard a tree of rings around vantage points finds all pairs: of points and queries only
-those whose distances to the vantage point differ by no more than the linking distance go on together.
+(of two shards only one visits the other). The tree grows with the corpus, so shards stay of one size.
+In a shard a tree of rings around vantage points finds all pairs: of points and queries only those whose
+distances to the vantage point differ by no more than the linking distance go on together.
 Large shards, such as one full of near copies, are cut into blocks of bounded size that meet in pairs.
 
 A task hands on no pairs, only for each fingerprint the smallest one it is connected with there, so
@@ -25,10 +26,16 @@ from silverlane.llm.store import pick, stored
 
 SEED = 42
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-#: Fingerprints the upper tree is fitted on, those a shard should have, and those of a block.
+#: Fingerprints the upper tree is fitted on: so many for each shard, and the least and most of them.
+LEAF = 32
 SAMPLE = 16_384
+MOST_SAMPLE = 4_194_304
+#: Fingerprints a shard should have, and those of a block.
 SHARD = 16_384
 BLOCK = 32_768
+#: A fingerprint is frequent if more documents than this, and more than one HOT_KEYS-th of all, have it.
+HOT_ROWS = 1_000
+HOT_KEYS = 10_000
 #: Pairs compared at once, and points times queries below which a tree no longer pays.
 AT_ONCE = 2_000_000
 SMALL = 60_000
@@ -189,9 +196,12 @@ def links_within(distinct: DataFrame, reach: int, block: int = BLOCK, shard: int
 
     `distinct` has each fingerprint once, as a long, in column fp.
     """
-    n = distinct.count()
-    some = distinct.orderBy(F.xxhash64("fp"), "fp").limit(sample).select("fp").toArrow().column("fp")
-    tree = UpperTree(some.to_numpy().astype(np.int64).view(np.uint64), -(-n // shard))
+    n = max(distinct.count(), 1)
+    shards = -(-n // shard)
+    wanted = min(max(sample, LEAF * shards), MOST_SAMPLE)  # a bounded share of the fingerprints, taken by their hash
+    some = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(n)) < wanted).select("fp").toArrow().column("fp")
+    points = np.random.default_rng(0).permutation(np.sort(some.to_numpy().astype(np.int64)))
+    tree = UpperTree(points.view(np.uint64), min(shards, wanted // LEAF))
     dealt_out = "fp long, shard int, home boolean"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,18 +214,14 @@ def links_within(distinct: DataFrame, reach: int, block: int = BLOCK, shard: int
             yield pa.RecordBatch.from_arrays(columns, names=["fp", "shard", "home"])
 
     dealt = stored(distinct.select("fp").mapInArrow(deal, dealt_out), "dealt")
-    sizes = dealt.groupBy("shard", "home").count().collect()  # two rows for each leaf of the upper tree
-    if not sizes:
-        return distinct.sparkSession.createDataFrame([], "a long, b long")
-    cut = {(row["shard"], row["home"]): -(-row["count"] // block) for row in sizes}
-    shards = {shard for shard, _ in cut}
-    homes = F.create_map(*[F.lit(x) for k in shards for x in (k, cut.get((k, True), 0))])[F.col("shard")]
-    guests = F.create_map(*[F.lit(x) for k in shards for x in (k, cut.get((k, False), 0))])[F.col("shard")]
+    cut = dealt.groupBy("shard").agg(*[F.ceil(F.count_if(c) / block).alias(n) for n, c in (("homes", F.col("home")), ("guests", ~F.col("home")))])
+    homes, guests = F.col("homes"), F.col("guests")
     hashed = F.xxhash64("fp")
     own = F.when(F.col("home"), F.pmod(hashed, homes)).otherwise(homes + F.pmod(hashed, guests)).cast("int")
     met = F.sequence(F.lit(0), F.when(F.col("home"), homes + guests).otherwise(homes) - 1)
     tasks = (
-        dealt.where(homes > 0)
+        dealt.join(F.broadcast(cut), "shard")  # a row for each leaf of the upper tree, fewer than 2 * MOST_SAMPLE / LEAF
+        .where(homes > 0)
         .withColumn("block", own)
         .withColumn("other", F.explode(met))
         .withColumn("low", F.least("block", "other"))
@@ -254,8 +260,8 @@ def contract(edges: DataFrame) -> DataFrame:
 
 
 def _linked(rows: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
-    """(fp, least): each fingerprint's smallest doc_id; (fp, root): the smallest one connected with each that has links."""
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    """(fp, least, n): each fingerprint's smallest doc_id and rows; (fp, root): the smallest one connected with each that has links."""
+    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "distinct")
     roots = contract(links_within(distinct, distance))
     return distinct, roots.union(roots.select("b", "b").distinct()).toDF("fp", "root")
 
@@ -274,8 +280,14 @@ def near_duplicates(
     known = linked.join(distinct, "fp")
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))
     components = known.join(least, "root").select("fp", "component_id")
-    by_print = distinct.join(components, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    least_id = F.coalesce("component_id", "least").alias("component_id")
+    by_print = stored(distinct.join(components, "fp", "left").select("fp", least_id, "n"), "components")
+    # The rows of frequent fingerprints, of which there are fewer than HOT_KEYS, stay where they are.
+    hot = (F.col("n") > HOT_ROWS) & (F.col("n") > rows.count() / HOT_KEYS)
+    few = F.broadcast(by_print.where(hot))
+    frequent = rows.join(few, "fp")
+    others = rows.join(few, "fp", "left_anti").join(by_print.where(~hot), "fp")
+    return frequent.union(others.select(frequent.columns)).select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:

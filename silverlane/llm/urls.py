@@ -139,8 +139,8 @@ def key_universe(spark: SparkSession, keys: DataFrame, rules: Rules) -> DataFram
 
 def judge(
     pages: DataFrame,
-    allow: Iterable[str],
-    block: Iterable[str],
+    allow: Iterable[str] | DataFrame,
+    block: Iterable[str] | DataFrame,
     blocked_hosts: Iterable[str] | DataFrame,
     page_id: str = "page_id",
     url: str = "url",
@@ -149,12 +149,12 @@ def judge(
 
     Of the rules that fit a url the longest decides; of several of one length one that blocks, and of those the greatest
     by code points; a rule that is listed both ways blocks. Where none
-    fits, the verdict is block if the host or a domain above it is in `blocked_hosts`, else allow; a long list of
-    hosts is better a table with a column `key`.
+    fits, the verdict is block if the host or a domain above it is in `blocked_hosts`, else allow. A long list
+    is better a table with a column `key`, whose null keys are none and whose repeated keys count once.
     A null url, or one without `://`, has an empty host and path, fits no rule and is allowed.
     Repeated rows and null ids stay, and other columns are not looked at.
     """
-    lists = {"allow": Rules(tuple(allow)), "block": Rules(tuple(block)), "hosts": Rules.of(blocked_hosts)}
+    lists = {"allow": Rules.of(allow), "block": Rules.of(block), "hosts": Rules.of(blocked_hosts)}
     host, path = host_and_path("url")
     rows = pick(pages, page_id=page_id, url=url).select("page_id", host.alias("host"), path.alias("path"))
     keys = candidates(F.col("host"), F.col("path"), lists.values())

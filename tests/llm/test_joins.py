@@ -142,6 +142,10 @@ def test_blocked_hosts_from_a_table(spark):
     assert got == same and got[3] == "block" and got[4] == "allow"
     wanted = {k: slow_judge(u)[3] for k, u in enumerate(urls_)} | {3: "block"}
     assert got == wanted
+    allow, block = (spark.createDataFrame([(k, 1) for k in (*keys, None, keys[0])], "key string, n int") for keys in (ALLOW, BLOCK))
+    tables = urls.judge(pages, allow, block, listed).collect()
+    assert sorted(tables) == sorted(urls.judge(pages, ALLOW, BLOCK, listed).collect())
+    assert {r.page_id: r.verdict for r in tables} == wanted
     nothing = urls.judge(pages, ALLOW, BLOCK, listed.limit(0)).collect()
     assert {r.page_id for r in nothing if r.verdict == "block"} == {k for k, u in enumerate(urls_) if slow_judge(u)[2] in BLOCK}
 

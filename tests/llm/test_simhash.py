@@ -80,8 +80,8 @@ def test_links_do_not_depend_on_shards_and_blocks(spark):
     wanted = slow_components(fps, 4)
     groups = {frozenset(np.flatnonzero(np.array(wanted) == r).tolist()) for r in set(wanted)}
     place = {int(x): k for k, x in enumerate(fps.view(np.int64))}
-    for block, shard in ((32_768, 16_384), (60, 16_384), (50, 100)):
-        edges = simhash.contract(simhash.links_within(distinct, 4, block, shard)).collect()
+    for block, shard, sample in ((32_768, 16_384, 16_384), (60, 16_384, 16_384), (50, 100, 16_384), (50, 20, 8), (7, 700, 8)):
+        edges = simhash.contract(simhash.links_within(distinct, 4, block, shard, sample)).collect()
         root = {place[e.a]: place[e.b] for e in edges}
         by: dict = {}
         for k in range(len(fps)):
@@ -89,6 +89,28 @@ def test_links_do_not_depend_on_shards_and_blocks(spark):
         assert set(map(frozenset, by.values())) == groups
 
 
+def test_the_upper_tree_grows_with_the_shards_wanted(spark):
+    rng = np.random.default_rng(8)
+    fps = rng.integers(0, 2**64, 4096, dtype=np.uint64)
+    for shards in (1, 8, 64, 128):
+        tree = simhash.UpperTree(fps[: simhash.LEAF * shards], shards)
+        assert tree.leaves == shards
+        _, found, home = tree.deal(fps, 4)
+        assert np.bincount(found[home], minlength=shards).max() < 4 * len(fps) / shards
+    empty = spark.createDataFrame([], "fp long")
+    assert simhash.links_within(empty, 4).collect() == []
+
+
+def test_frequent_fingerprints_are_looked_up_apart(documents, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT_ROWS", 3)
+    base = "the quick brown fox jumps over the lazy dog and runs far away into the deep dark wood " * 4
+    rows = [(k, base) for k in range(20, 40)] + [(k, None) for k in range(50, 60)] + [(7, "alone"), (45, base), (45, base)]
+    for keys in (10_000, 3, 1):  # both are frequent, one, none
+        monkeypatch.setattr(simhash, "HOT_KEYS", keys)
+        got = sorted((r.doc_id, r.component_id) for r in simhash.near_duplicates(documents(rows)).collect())
+        assert got == sorted((k, 7 if t == "alone" else 20 if t else 50) for k, t in rows)
+
+
 def test_long_chains_are_one_component(spark):
     n = 300
     edges = spark.createDataFrame([(k + 1, k) for k in range(n)] + [(1000, 999)], "a long, b long")
