@@ -44,6 +44,16 @@ def test_gold_over_a_table_exchanges_its_rows_once(spark, where):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
+def test_gold_over_computed_rows_cleans_them_once(spark):
+    from silverlane.plans.gold import gold_alerts
+    from workload.inputs import silver
+
+    gold = gold_alerts(silver(spark, SF))
+    plan = executed(gold)
+    # The statistics are made of the rows that the removal of copies has shuffled already.
+    assert "ReusedExchange" in plan and plan.count("FileScan parquet") == 1
+
+
 def test_reports_read_only_the_columns_they_need(spark, where):
     from silverlane.plans.profiles import profile_by_city
     from workload.inputs import silver
