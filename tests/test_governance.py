@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from silverlane.governance import audit, catalog, contract, security
 from silverlane.schema import AUDIT
 from silverlane.sources import tables
-from workload.queries import COLUMN_NOTES, CONTRACT
+from workload.queries import COLUMN_NOTES, CONTRACT, environment_check
 
 ROWS = [("t1", "d1", "silver"), ("t2", "d2", "bronze"), ("t3", "d3", "silver")]
 
@@ -38,6 +38,24 @@ def test_domains_and_environment(spark, domain, transactions):
     assert [r["present"] for r in checked.collect()] == [True, False, True, False]
 
 
+def test_the_environment_has_all_four_schemas(spark, where):
+    types = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    at = dt.datetime(2024, 1, 1)
+    # Of five events the fourth is bronze and the fifth has no valid channel.
+    kinds = {1: "view", 2: "click", 3: "signup", 4: "purchase", 5: "error"}
+    events = [(n, at, n, kind, 1.0, None) for n, kind in kinds.items()]
+    spark.createDataFrame(events, types).write.parquet(f"{where}/events.parquet")
+    checked = {(r["kind"], r["name"]): (r["present"], r["silver_rows"]) for r in environment_check(spark, where).collect()}
+    assert checked == {
+        ("schema", "ledger"): (True, 0),
+        ("schema", "watch"): (True, 0),
+        ("schema", "people"): (True, 0),
+        ("schema", "outlets"): (True, 0),
+        ("table", "ledger.transactions"): (True, 3),
+        ("table", "ledger.transactions_missing"): (False, 0),
+    }
+
+
 def test_reset_drops_only_what_was_made_here(spark, domain):
     other = f"other_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE SCHEMA {other}")

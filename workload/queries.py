@@ -69,6 +69,8 @@ DOMAINS = {
     "watch": "Scored transactions",
     "people": "Group membership and what each group may read",
 }
+# What a run needs: also the domain that stores no table here.
+REQUIRED = DOMAINS | {"outlets": "Channels that transactions come in through"}
 COLUMN_NOTES = {
     "transaction_id": "text; from the landed file; never null; one row each",
     "user_id": "text; from the landed file; never null",
@@ -692,11 +694,11 @@ def write_history(spark: SparkSession, sf: str) -> DataFrame:
 # -- governance --------------------------------------------------------------------------
 
 
-def _domains(spark: SparkSession) -> dict[str, str]:
-    """The four domain schemas, made for one run: name -> name in the catalog."""
+def _domains(spark: SparkSession, domains: dict[str, str] = DOMAINS) -> dict[str, str]:
+    """The domain schemas, made for one run: name -> name in the catalog."""
     suffix = uuid.uuid4().hex[:12]
-    names = {domain: f"{domain}_{suffix}" for domain in DOMAINS}
-    comments = {names[d]: text for d, text in DOMAINS.items()}
+    names = {domain: f"{domain}_{suffix}" for domain in domains}
+    comments = {names[d]: text for d, text in domains.items()}
     catalog.create_domains(spark, comments, run_dir(spark, "schemas"))
     return names
 
@@ -705,9 +707,11 @@ def _table(spark: SparkSession, domain: str, table: str) -> tuple[str, str]:
     return f"{_domains(spark)[domain]}.{table}", f"{run_dir(spark, 'tables')}/{table}"
 
 
-def _product(spark: SparkSession, sf: str) -> tuple[dict[str, str], str]:
+def _product(
+    spark: SparkSession, sf: str, domains: dict[str, str] = DOMAINS
+) -> tuple[dict[str, str], str]:
     """The transactions product: typed table, filled with Silver, contract and notes."""
-    names = _domains(spark)
+    names = _domains(spark, domains)
     table = f"{names['ledger']}.transactions"
     rows = given.layered(spark, sf).select(*ROW, "is_fraud", "processed_at", "layer")
     catalog.create_table(spark, table, rows.schema, column_comments=COLUMN_NOTES)
@@ -753,7 +757,7 @@ def column_documentation(spark: SparkSession, sf: str) -> DataFrame:
 
 def environment_check(spark: SparkSession, sf: str) -> DataFrame:
     """Whether the schemas and the table a run needs are there, and the rows it would read."""
-    names, table = _product(spark, sf)
+    names, table = _product(spark, sf, REQUIRED)
     n_rows = tables.layer_scan(spark, table, "silver").agg(F.count(F.lit(1))).scalar()
     checked = catalog.check_environment(spark, list(names.values()), [table, f"{table}_missing"])
     return checked.select(
